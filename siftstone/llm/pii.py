@@ -89,7 +89,7 @@ def candidates(tokens: list[str]) -> Iterator[tuple[int, int, str, dict[str, flo
             if not (digit[j - 1] or word[j - 1]) or len(number) > 19:
                 continue
             inside = tokens[i:j]
-            if dots and word[j - 1] and last.lower() not in ("at", "dot"):
+            if dots and t.lower() not in ("at", "dot") and word[j - 1] and last.lower() not in ("at", "dot"):
                 yield i, j, "email", features("email", inside, tokens, i, j)
             if not any(word[i:j]):
                 n = len(number)
@@ -154,7 +154,7 @@ class SemiCrf:
             j = i
         return out[::-1]
 
-    def fit(self, examples: list[tuple[list[str], set[tuple[int, int, str]]]], epochs: int = 12, rate: float = 0.3, decay: float = 0.002) -> None:
+    def fit(self, examples: list[tuple[list[str], set[tuple[int, int, str]]]], epochs: int = 12, rate: float = 0.3, decay: float = 0.0003) -> None:
         for epoch in range(epochs):
             step = rate / (1 + 0.3 * epoch)
             for tokens, gold in examples:
@@ -177,7 +177,7 @@ class SemiCrf:
         self.weights = dict(self.weights)
 
 
-def examples(seed: int = 11, count: int = 260) -> list[tuple[list[str], set[tuple[int, int, str]]]]:
+def examples(seed: int = 11, count: int = 400) -> list[tuple[list[str], set[tuple[int, int, str]]]]:
     """Seeded training windows: numbers, phones, cards, addresses and disguised e-mail of many forms between words, and look-alikes."""
     r = random.Random(seed)
     d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
@@ -226,7 +226,7 @@ def trained() -> SemiCrf:
     return model
 
 
-def added_spans(text: str, base: list[Span], model: SemiCrf, margin: float = 2.0) -> list[Span]:
+def added_spans(text: str, base: list[Span], model: SemiCrf, margin: float = 1.0) -> list[Span]:
     """Spans the model finds in windows of numbers or disguised e-mail, outside all base spans, each at least margin above leaving it out."""
     taken = sorted((s, e) for _, s, e in base)
     windows = [m.span() for m in NUMBERS.finditer(text) if m.end() - m.start() >= 7 and len(digits_of(m.group())) >= 4]
