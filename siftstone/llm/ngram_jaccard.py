@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,11 +75,9 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_i
     left, right = index.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), index.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     fits = (F.col("a") < F.col("b")) & (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
     candidates = left.join(right, "key").where(fits).select("a", "b").distinct()
-    side = known.select("doc_id", "n", F.col("shared.t").alias("s"))
-    first = candidates.join(side.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa")), "a")
-    both = first.join(side.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb")), "b")
-    counted = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both"))
-    links = materialize(spark, counted.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "jaccard_links")
+    candidates = materialize(spark, candidates, "jaccard_candidates")
+    links = verified(spark, candidates, known.select("doc_id", "n", F.col("shared.t").alias("s")), percent)
+    discard(spark, candidates)
     discard(spark, index, known)
 
     label = components(spark, links)
@@ -92,6 +91,32 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_i
     return whole.select("doc_id", "n_shingles", F.when(inside, F.col("n_similar")).otherwise(F.lit(0)).cast("bigint").alias("n_similar"), F.when(inside, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link.
+
+    Pairs are cut into blocks by the hashes of both ends, about as many as there are shuffle partitions. A set travels once to each block
+    that asks for it, 2 * sqrt(blocks) times at most, not once for each of its pairs; in a block both joins find it in place.
+    """
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    side = max(4, math.isqrt(parts))
+    cell = lambda x, salt: F.pmod(F.xxhash64(F.lit(salt), x), F.lit(side))
+    placed = pairs.withColumn("block", (cell(F.col("a"), "a") * side + cell(F.col("b"), "b")).cast("int"))
+    asked = placed.select(F.col("a").alias("doc_id"), "block").union(placed.select("b", "block")).distinct()
+    here = asked.join(sets, "doc_id").repartition(parts, "block")
+    first = here.select("block", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    second = here.select("block", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    both = placed.repartition(parts, "block").join(first.hint("merge"), ["block", "a"]).join(second.hint("merge"), ["block", "b"])
+    counted = both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("both"))
+    out = counted.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")  # blocks are where both ends meet: no second shuffle by the ends
+    try:
+        return materialize(spark, out, "jaccard_verified")
+    finally:
+        spark.conf.set(name, before)
+
+
 def _repeats(groups: DataFrame, base: DataFrame) -> bool:
     """Whether some doc_id occurs in more rows than documents were counted."""
     return base.where("n > 0 and doc_id is not null").count() > groups.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
