@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import bisect
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,36 +18,62 @@ from pyspark.sql.window import Window
 from siftstone.llm.state import kept
 from siftstone.runtime import materialize, table
 
-#: Characters below this are composed Latin letters and signs, for which lower() a character at a time is the tokenizer's own normalization.
-PLAIN = regex.compile(r"[\x00-˿]*+")
-WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Characters below U+0230 are composed Latin letters and signs, for which lower() a character at a time is the tokenizer's own normalization
+#: (U+001C to U+001F are white space to Python only).
+PLAIN = re.compile("[\\x00-\\x1b\\x20-\u022f]*+")
+_OF = {k: "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+#: The tokenizer's own pre-tokens, within those characters.
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_OF['L']}]+|[{_OF['N']}]|[^\\s{_OF['L']}{_OF['N']}]+")
 
 
 class Words(dict):
-    """Ids (little-endian unsigned 32-bit) of a pre-token, each made once by the tokenizer; emptied when it grows too large."""
+    """Ids (little-endian unsigned 32-bit) of a pre-token, made by the tokenizer; emptied when it grows too large."""
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 500_000) -> None:
         import tokenizers
 
         super().__init__()
         self.tokenizer, self.most = tokenizers.Tokenizer.from_file(path), most
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
+    def raw(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: set[str]) -> None:
+        """One call for many new words: pre-tokens that white space parts stay apart."""
+        order = list(words)
+        for k in range(0, len(order), 20_000):
+            part = order[k : k + 20_000]
+            made = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, owner = np.array(made.ids, "<u4"), np.array(made.word_ids)
+            edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
+            raw = ids.tobytes()
+            self.update(zip(part, (raw[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()))))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts as tokenizers gives them. Texts beyond plain Latin, or with the marker of a special token, take the library's own path."""
+        split = [WORD.findall(t.lower()) if PLAIN.fullmatch(t) and "<|" not in t else None for t in texts]
+        new: set[str] = set()
+        for words in split:
+            if words:
+                new.update(words)
+        new.difference_update(self.keys())
+        if len(self) + len(new) > self.most:
             self.clear()
-        ids = self.raw(word)
-        if len(word) <= 64:
-            self[word] = ids
-        return ids
+            new = {w for words in split if words for w in words}
+        self.learn(new)
+        return [self.raw(t) if words is None else b"".join(map(self.__getitem__, words)) for t, words in zip(texts, split)]
 
-    def raw(self, text: str) -> bytes:
-        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def ids(self, text: str) -> bytes:
-        """The ids of a text as tokenizers gives them. Texts beyond plain Latin, or with the marker of a special token, take the library's own path."""
-        if not PLAIN.fullmatch(text) or "<|" in text:
-            return self.raw(text)
-        return b"".join(map(self.__getitem__, WORD.findall(text.lower())))
+def tokenized(column: pa.Array, words: Words, stop: bytes, chunk: int = 1 << 20) -> Iterator[bytes]:
+    held: list[str] = []
+    size = 0
+    for cell in column:
+        held.append(cell.as_py() or "")
+        size += len(held[-1])
+        if size >= chunk:
+            yield from (ids + stop for ids in words.ids(held))
+            held, size = [], 0
+    yield from (ids + stop for ids in words.ids(held))
 
 
 def pieces(batches: Iterator[pa.RecordBatch], path: str, length: int, end: int) -> Iterator[pa.RecordBatch]:
@@ -53,8 +81,7 @@ def pieces(batches: Iterator[pa.RecordBatch], path: str, length: int, end: int)
     stop = end.to_bytes(4, "little")
     for batch in batches:
         out: list[list] = [[], [], [], [], []]
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = words.ids(text.as_py() or "") + stop
+        for doc_id, ids in zip(batch.column(0).to_pylist(), tokenized(batch.column(1), words, stop)):
             for piece, at in enumerate(range(0, len(ids), 4 * length)):
                 part = ids[at : at + 4 * length]
                 for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part))):
