@@ -10,6 +10,7 @@ from urllib.parse import urlsplit, urlunsplit
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StringType
 
 SPACES = re.compile(r"\s+")
 
@@ -61,21 +62,21 @@ def plain_simhash(text: str | None) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def normalize_text(s: pd.Series) -> pd.Series:
     return s.map(plain_normalize_text)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def normalize_url(s: pd.Series) -> pd.Series:
     return s.map(plain_normalize_url)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def repair_text(s: pd.Series) -> pd.Series:
     return s.map(plain_repair)
 
 
-@pandas_udf("bigint")
+@pandas_udf(LongType())
 def simhash64(s: pd.Series) -> pd.Series:
     return s.map(plain_simhash)
