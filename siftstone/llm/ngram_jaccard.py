@@ -91,16 +91,26 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_i
     return whole.select("doc_id", "n_shingles", F.when(inside, F.col("n_similar")).otherwise(F.lit(0)).cast("bigint").alias("n_similar"), F.when(inside, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, most_pairs: int = 200_000) -> DataFrame:
     """The pairs (a, b) whose whole sets link.
 
-    Pairs are cut into blocks by the hashes of both ends, about as many as there are shuffle partitions. A set travels once to each block
-    that asks for it, 2 * sqrt(blocks) times at most, not once for each of its pairs; in a block both joins find it in place.
+    A set travels to blocks of pairs, not to pairs. Sets of one family mostly share one of three min-hashes, and their pairs meet in its
+    block; a block of more than most_pairs is cut into g * g by the hashes of both ends, so a set goes there g times for each side. The
+    few pairs without a common min-hash go to a grid of about as many blocks as there are shuffle partitions.
+    In a block both joins find their sets in place.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     side = max(4, math.isqrt(parts))
-    cell = lambda x, salt: F.pmod(F.xxhash64(F.lit(salt), x), F.lit(side))
-    placed = pairs.withColumn("block", (cell(F.col("a"), "a") * side + cell(F.col("b"), "b")).cast("int"))
+    least = sets.select("doc_id", F.array(F.array_min("s"), *[F.array_min(F.transform("s", lambda t, j=j: F.xxhash64(t, F.lit(j)))) for j in (1, 2)]).alias("m"))
+    least = materialize(spark, least, "jaccard_least")
+    ends = pairs.join(least.toDF("a", "ma"), "a").join(least.toDF("b", "mb"), "b")
+    meet = F.coalesce(*[F.when(F.get("ma", F.lit(j)) == F.get("mb", F.lit(j)), F.get("ma", F.lit(j))) for j in range(3)])
+    met = materialize(spark, ends.select("a", "b", meet.alias("meet")), "jaccard_met")
+    large = met.where("meet is not null").groupBy("meet").agg(F.count("*").alias("pairs")).where(F.col("pairs") > most_pairs).select("meet", F.ceil(F.sqrt(F.col("pairs") / most_pairs)).alias("g"))
+    cell = lambda x, salt, g: F.pmod(F.xxhash64(F.lit(salt), x), g)
+    g = F.when(F.col("meet").isNull(), F.lit(side)).otherwise(F.coalesce("g", F.lit(1))).cast("bigint")
+    block = F.xxhash64("meet", cell(F.col("a"), "a", g), cell(F.col("b"), "b", g))
+    placed = materialize(spark, met.join(large, "meet", "left").select("a", "b", block.alias("block")), "jaccard_placed")
     asked = placed.select(F.col("a").alias("doc_id"), "block").union(placed.select("b", "block")).distinct()
     here = asked.join(sets, "doc_id").repartition(parts, "block")
     first = here.select("block", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
