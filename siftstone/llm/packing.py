@@ -29,7 +29,7 @@ WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_OF['L']}]+|[{_OF['N']}]|[^\\s{_OF
 class Words(dict):
     """Ids (little-endian unsigned 32-bit) of a pre-token, made by the tokenizer; emptied when it grows too large."""
 
-    def __init__(self, path: str, most: int = 500_000) -> None:
+    def __init__(self, path: str, most: int = 250_000) -> None:
         import tokenizers
 
         super().__init__()
