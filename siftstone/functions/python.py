@@ -34,14 +34,21 @@ def plain_normalize_url(url: str | None) -> str:
     return urlunsplit((parts.scheme.lower(), f"{host}:{port}" if port else host, parts.path, parts.query, ""))
 
 
+#: UTF-8 lead bytes and continuations as Windows-1252 shows them.
+MOJIBAKE = re.compile("[\xc2-\xf4][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]{1,3}")
+
+
+def _decoded(m: re.Match) -> str:
+    try:
+        return m.group().encode("cp1252").decode("utf-8")
+    except UnicodeError:
+        return m.group()
+
+
 def plain_repair(text: str | None) -> str:
     """Entities, UTF-8 read as Windows-1252, C1 controls, Latin ligatures, then NFC."""
     out = html.unescape(text or "")
-    if re.search("[\xc2\xc3\xe2][\x80-\xbf€™œ’]", out):
-        try:
-            out = out.encode("cp1252").decode("utf-8")
-        except UnicodeError:
-            pass
+    out = MOJIBAKE.sub(_decoded, out)
     out = re.sub("[\x80-\x9f]", "", out)
     for a, b in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
         out = out.replace(a, b)
