@@ -172,10 +172,13 @@ def repeats(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordB
         at = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
         held = now.slice(at)
         tail = held.column("shift").to_numpy()
-        if len(tail) > 3 * HOT and (tail < 0).all():  # a window of many places: the first two settle that all repeat
+        if len(tail) > 3 * HOT and (tail < 0).all():  # a window of many places: the first two settle that all repeat; settled spans are done
             yield from settled(held, span)
+            held = held.filter(pa.array(tail == -1))
+            places = {tuple(p.values()) for p in held.select(["k1", "k2", "start"]).to_pylist()}
             held = held.slice(0, 1)
-            held = pa.concat_tables([held, held.set_column(3, "start", pa.array([-1 - span], pa.int64()))])
+            if len(places) > 1:
+                held = pa.concat_tables([held, held.set_column(3, "start", pa.array([-1 - span], pa.int64()))])
         yield from settled(now.slice(0, at), span)
     if held is not None and schema is not None:
         yield from settled(held, span)
@@ -197,7 +200,7 @@ def settled(rows: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
     offsets = np.frombuffer(ends, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     out: list[tuple[int, int, int, int]] = []
-    done = np.flatnonzero((shift == -2) & ~again)
+    done = np.flatnonzero((shift == -2) & (start >= 0) & ~again)
     out += zip(k1[done].tolist(), k2[done].tolist(), start[done].tolist(), key[done].tolist())
     alone = np.flatnonzero((shift == -1) & ~again)
     _, group, many = np.unique(key[alone], return_inverse=True, return_counts=True)

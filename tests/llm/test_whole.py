@@ -2,8 +2,9 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
-from siftstone.llm import embedding_graph
+from siftstone.llm import embedding_graph, suffix_dedup
 
 
 def vectors(sizes, loners, noise=0.1, dim=64, seed=5):
@@ -21,3 +22,31 @@ def test_every_link_of_families_larger_than_the_pool(spark):
     table = vectors([100] * 5 + [30] * 10, 50)
     found = embedding_graph.near_duplicates(spark, spark.createDataFrame(table, "vec_id long, embedding array<double>, label int")).toPandas()
     assert embedding_graph.audit(table, found) == 1.0
+
+
+def test_spans_of_one_end_in_many_texts(monkeypatch):
+    """More than 3 * HOT texts with a settled span, or a hot window, at the same place: none gets a span of another place."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 4)
+    types = [("key", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64()), ("shift", pa.int32()), ("context", pa.binary())]
+    rows = [(7, 99, 99, 30, -1, b"")] + [(450, i, i, 150, -2, b"") for i in range(20)] + [(900, i, i, 20, -1, b"") for i in range(20)]
+    batches = [pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*rows[a : a + 5]), types)], [n for n, _ in types]) for a in range(0, len(rows), 5)]
+    got = sorted({tuple(r.values()) for b in suffix_dedup.repeats(iter(batches), 200) for r in b.to_pylist()})
+    assert got == sorted([(i, i, 150, 450) for i in range(20)] + [(i, i, 20, 220) for i in range(20)])
+
+
+def test_hot_lines_behind_a_header(monkeypatch):
+    """Texts with a ruler line behind a header of fixed length, from samples to cuts."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 4)
+    r = np.random.default_rng(3)
+    texts = ["".join(map(chr, [*r.integers(97, 123, 49), 65 + i, *[45] * 300, 65 + i, *r.integers(97, 123, 149)])) for i in range(20)]
+    ids = list(range(20))
+    table = pa.record_batch([pa.array(texts), pa.array(ids, pa.int64()), pa.array(ids, pa.int64())], ["t", "k1", "k2"])
+    samples = pa.Table.from_batches(suffix_dedup.sampled(iter([table]), 200)).to_pandas()
+    times = samples.groupby("h")["times"].sum()
+    own = samples.groupby("k1")["h"].unique()
+    common = [[int(h) for h in own[i] if times[h] > 1] for i in ids]
+    hot = [[h for h in c if times[h] > 4] for c in common]
+    wide = pa.record_batch([*table.columns, pa.array(common, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.int64()))], ["t", "k1", "k2", "common", "hot"])
+    buckets = pa.Table.from_batches(suffix_dedup.contexts(iter([wide]), 200)).sort_by("key")
+    cuts = pa.concat_tables([pa.Table.from_batches([b]) for b in suffix_dedup.repeats(iter(buckets.to_batches(max_chunksize=5)), 200)]).to_pandas()
+    assert {(i, c["start"].min(), c["stop"].max()) for i, c in cuts.groupby("k1")} == {(i, 50, 350) for i in ids}
