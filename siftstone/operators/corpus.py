@@ -90,9 +90,9 @@ def boilerplate_score(text: Column) -> Column:
 
 
 def exact_dedupe(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """canonical (least seq of the key, aggregated before the shuffle) and kind of every row. Joined, not windowed: a key with a third of all rows is no group of one task."""
+    """canonical (least seq of the key, aggregated before the shuffle) and kind of every row. Joined, not windowed: a key with a third of all rows is no group of one task. Null keys are one group."""
     first = rows.groupBy(F.col(key).alias("__key")).agg(F.min(seq).alias("canonical"))
-    return rows.join(first, F.col(key) == F.col("__key")).drop("__key").withColumn("kind", F.when(F.col("canonical") == F.col(seq), "canonical").otherwise("exact"))
+    return rows.join(first, F.col(key).eqNullSafe(F.col("__key"))).drop("__key").withColumn("kind", F.when(F.col("canonical") == F.col(seq), "canonical").otherwise("exact"))
 
 
 def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text: str, distance: int = 3, rounds: int = 200) -> DataFrame:
@@ -121,7 +121,7 @@ def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text:
     first = hashed.join(state, "seq")
     pick = edges.join(canonical, "seq_a").groupBy("seq_b").agg(F.min(F.struct("band", "seq_a", "distance")).alias("pick"))
     decided = first.join(pick, F.col("seq") == F.col("seq_b"), "left").select("key", F.col("seq").alias("first"), "state", F.col("pick.seq_a").alias("to"), F.col("pick.distance").alias("d"))
-    out = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq")).join(decided, "key")
+    out = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq")).join(decided.withColumnRenamed("key", "__key"), F.col("key").eqNullSafe(F.col("__key")))
     canonical_of = F.when(F.col("state") == "canonical", F.col("first")).otherwise(F.col("to"))
     kind = F.when(F.col("seq") == canonical_of, "canonical").when(F.col("state") == "canonical", "exact").otherwise("near")
     return out.select("seq", canonical_of.alias("canonical"), kind.alias("kind"), F.coalesce(F.when(F.col("state") != "canonical", F.col("d")), F.lit(0)).alias("distance"))
