@@ -24,7 +24,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-SOME = re.compile(r"[0-9@]|\b[Dd][Oo][Tt]\b")
+SOME = re.compile(r"[0-9@]|\b[Aa][Tt]\b")
 
 
 def luhn(digits: str) -> bool:
@@ -65,10 +65,22 @@ def base_spans(text: str) -> list[Span]:
 
 
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|\s+|.", re.DOTALL)
-NUMBERS = re.compile(r"[0-9+(][0-9\x20().+/-]*")
-HIDDEN = re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?[\[({]?\x20?\b[Aa][Tt]\b\x20?[\])}]?\x20?[A-Za-z0-9-]{1,63}(?:\x20?[\[({]?\x20?\b[Dd][Oo][Tt]\b\x20?[\])}]?\x20?[A-Za-z0-9-]{1,63}){1,4}")
+BLANK, DASH = "\x20\t\xa0   ", "‐-―−"
+NUMBERS = re.compile(rf"[0-9+(\[][0-9{BLANK}\r\n(){{}}\[\].+/{DASH}-]*")
+LABEL = "[A-Za-z0-9-]{1,63}"
+STOP = rf"(?:\.|[{BLANK}]?[\[({{<][{BLANK}]?(?:\.|[Dd][Oo][Tt])[{BLANK}]?[\])}}>][{BLANK}]?|[{BLANK}]?\b[Dd][Oo][Tt]\b[{BLANK}]?)"
+HIDDEN = re.compile(rf"(?:@|\b[Aa][Tt]\b)[{BLANK}]?[\])}}>]?[{BLANK}]?{LABEL}(?:{STOP}{LABEL}){{1,5}}")
+BEFORE = re.compile(rf"[A-Za-z0-9._%+-]{{1,64}}[{BLANK}]?[\[({{<]?[{BLANK}]?\Z")
 LONGEST = 24
 ENDINGS = frozenset("com org net edu gov info io de fr es it uk eu nl pl pt se ch at us ca".split())
+PLACES = frozenset("available look us hosted found site page online shop visit see read download listed sold stay live".split())
+
+
+def sign(token: str) -> str:
+    """What a separator counts as: a line break, a blank, a dash or itself."""
+    if token.isspace():
+        return "\n" if "\n" in token or "\r" in token else " "
+    return "-" if "\u2010" <= token <= "\u2015" or token == "\u2212" else token
 
 
 def candidates(tokens: list[str]) -> Iterator[tuple[int, int, str, dict[str, float]]]:
@@ -76,7 +88,7 @@ def candidates(tokens: list[str]) -> Iterator[tuple[int, int, str, dict[str, flo
     digit = [t[0].isdigit() and t.isascii() for t in tokens]
     word = [t.isalpha() and t.isascii() for t in tokens]
     for i, t in enumerate(tokens):
-        if not (digit[i] or word[i] or t in "+("):
+        if not (digit[i] or word[i] or t in "+(["):
             continue
         number, at_seen, dots = "", False, 0
         for j in range(i + 1, min(len(tokens), i + LONGEST) + 1):
@@ -86,6 +98,9 @@ def candidates(tokens: list[str]) -> Iterator[tuple[int, int, str, dict[str, flo
             elif word[j - 1]:
                 at_seen |= last.lower() == "at"
                 dots += at_seen and last.lower() == "dot"
+            else:
+                at_seen |= last == "@"
+                dots += at_seen and last == "."
             if not (digit[j - 1] or word[j - 1]) or len(number) > 19:
                 continue
             inside = tokens[i:j]
@@ -105,7 +120,7 @@ def features(kind: str, inside: list[str], tokens: list[str], i: int, j: int) ->
     """Whole-span features: checks, grouping of digits, separators, and what stands around the span."""
     groups = [t for t in inside if t[0].isdigit()]
     number = "".join(groups)
-    signs = sorted({t if not t.isspace() else " " for t in inside if not t[0].isalnum()})
+    signs = sorted({sign(t) for t in inside if not t[0].isalnum()})
     out = {"bias": 1.0, "groups " + "-".join(str(len(g)) for g in groups[:6]): 1.0, "signs " + "".join(signs): 1.0, f"digits {len(number)}": 1.0, f"opens {inside[0] if not inside[0].isalnum() else 'x'}": 1.0}
     if kind == "card":
         out["luhn" if luhn(number) else "no luhn"] = 1.0
@@ -115,6 +130,13 @@ def features(kind: str, inside: list[str], tokens: list[str], i: int, j: int) ->
         out["known ending" if inside[-1].lower() in ENDINGS else "other ending"] = 1.0
         out["brackets" if {"(", "[", "{"} & set(signs) else "bare"] = 1.0
         out["local digits" if number else "local letters"] = 1.0
+        low = [t.lower() for t in inside]
+        out[f"{'@' if '@' in low else 'at'} {'dot' if 'dot' in low else '.'} {'known' if low[-1] in ENDINGS else 'other'}"] = 1.0
+        local = "".join(low[: min(low.index(t) for t in ("at", "@") if t in low)]).rstrip(" \t\xa0\u2007\u2009\u202f[({<")
+        if any(c.isspace() for c in local):
+            out["several words"] = 1.0
+        if low[0] in PLACES:
+            out["place"] = 1.0
     if inside.count("(") != inside.count(")"):
         out["unbalanced"] = 1.0
     for name, k in (("before", i - 1), ("after", j)):
@@ -177,8 +199,8 @@ class SemiCrf:
         self.weights = dict(self.weights)
 
 
-def examples(seed: int = 11, count: int = 400) -> list[tuple[list[str], set[tuple[int, int, str]]]]:
-    """Seeded training windows: numbers, phones, cards, addresses and disguised e-mail of many forms between words, and look-alikes."""
+def examples(seed: int = 11, count: int = 400, more: int = 400) -> list[tuple[list[str], set[tuple[int, int, str]]]]:
+    """Seeded training windows: numbers, phones, cards, addresses and disguised e-mail of many forms between words, and look-alikes; more of rarer signs."""
     r = random.Random(seed)
     d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
     w = lambda: "".join(r.choice("abcdefghilmnoprstu") for _ in range(r.randint(2, 8)))
@@ -205,18 +227,41 @@ def examples(seed: int = 11, count: int = 400) -> list[tuple[list[str], set[tupl
             return c[:-1] + str((int(c[-1]) + 1 + r.randrange(8)) % 10), ""
         return r.choice([f"{r.randint(1900, 2030)}-{d(2)}-{d(2)}", f"{d(1)}.{d(1)}.{d(2)}", d(r.randint(5, 12)), f"{d(3)} {d(3)}", f"{d(2)}/{d(2)}/{r.randint(1990, 2030)}", f"{d(4)} - {d(4)} - {d(2)}", f"{w()} at {w()} dot {w()}", f"{w()} at {w()} {w()}", f"{r.randint(256, 999)}.{d(2)}.{d(3)}.{d(1)}", f"{d(9)}.{d(2)}", f"{d(2)} {d(2)} {d(2)} {d(2)} {d(2)}"]), ""
 
+    def other() -> tuple[str, str]:
+        kind = r.randrange(16)
+        gap = r.choice("\xa0\u202f\u2009\u2010\u2011\u2013\u2014\u2212\t")
+        if kind < 3:
+            return r.choice([f"{d(3)}{gap}{d(3)}{gap}{d(4)}", f"({d(3)}){gap}{d(3)}-{d(4)}", f"[{d(3)}] {d(3)}-{d(4)}", f"+{d(1)}{gap}{d(3)}{gap}{d(3)}{gap}{d(4)}", f"({d(3)}) {d(3)}-\n{d(4)}", f"{d(3)}\n{d(3)}-{d(4)}"]), "phone"
+        if kind < 5:
+            c = card()
+            return gap.join((c[:4], c[4:8], c[8:12], c[12:])), "card"
+        if kind < 6:
+            return r.choice(["[.]", "(.)"]).join(str(r.randint(0, 255)) for _ in range(4)), "ip"
+        if kind < 11:
+            a, b = r.choice([" at ", " at ", " at ", "[at]", " (at) ", " [at] ", "(at)", "@", " @ ", "[@]"]), r.choice([".", ".", ".", "[.]", "(.)", " dot ", "[dot]", " (dot) "])
+            a = " @ " if a == "@" and b == "." else a
+            return f"{w()}{r.choice(['', '.' + w(), d(2)])}{a}{w()}{r.choice(['', b + w()])}{b}{r.choice(['com', 'org', 'net', 'de'])}", "email"
+        if kind < 12:
+            return f"{r.choice(sorted(PLACES))} at {r.choice(['', w() + '.'])}{w()}.{r.choice(['com', 'org', 'net', 'de'])}", ""
+        if kind < 13:
+            c = card()
+            c = c[:-1] + str((int(c[-1]) + 1 + r.randrange(8)) % 10)
+            return gap.join((c[:4], c[4:8], c[8:12], c[12:])), ""
+        return r.choice([f"{w()} at {w()}.{w()}", f"{w()} @ {w()}.{w()}", f"{r.randint(1900, 2030)}\u2013{r.randint(1900, 2030)}", "\n".join(d(r.randint(2, 4)) for _ in range(r.randint(3, 5))), "\t".join(d(r.randint(1, 5)) for _ in range(r.randint(3, 5))), f"{d(3)}{gap}{d(3)}", f"[{d(2)}] [{d(2)}] [{d(2)}]", f"{d(5)}\n{d(5)}"]), ""
+
     out = []
-    for _ in range(count):
+    for k in range(count + more):
         tokens: list[str] = []
         gold = set()
         for _ in range(r.randint(1, 2)):
             tokens += [w(), " "]
-            text, kind = one()
+            text, kind = one() if k < count else other()
             own = TOKEN.findall(text)
             if kind:
                 gold.add((len(tokens), len(tokens) + len(own), kind))
             tokens += [*own, r.choice([" ", ", ", ". "])[0], " "]
         out.append(([*tokens, w()], gold))
+    r.shuffle(out)
     return out
 
 
@@ -230,8 +275,9 @@ def added_spans(text: str, base: list[Span], model: SemiCrf, margin: float = 1.0
     """Spans the model finds in windows of numbers or disguised e-mail, outside all base spans, each at least margin above leaving it out."""
     taken = sorted((s, e) for _, s, e in base)
     windows = [m.span() for m in NUMBERS.finditer(text) if m.end() - m.start() >= 7 and len(digits_of(m.group())) >= 4]
-    if re.search(r"\b[Dd][Oo][Tt]\b", text):
-        windows += [m.span() for m in HIDDEN.finditer(text)]
+    for m in HIDDEN.finditer(text):
+        if local := BEFORE.search(text, max(0, m.start() - 67), m.start()):
+            windows.append((local.start(), m.end()))
     out = []
     for start, end in sorted(windows):
         free, at = [], start

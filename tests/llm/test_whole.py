@@ -3,8 +3,9 @@
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 
-from siftstone.llm import embedding_graph, suffix_dedup
+from siftstone.llm import embedding_graph, pii, suffix_dedup
 
 
 def vectors(sizes, loners, noise=0.1, dim=64, seed=5):
@@ -50,3 +51,23 @@ def test_hot_lines_behind_a_header(monkeypatch):
     buckets = pa.Table.from_batches(suffix_dedup.contexts(iter([wide]), 200)).sort_by("key")
     cuts = pa.concat_tables([pa.Table.from_batches([b]) for b in suffix_dedup.repeats(iter(buckets.to_batches(max_chunksize=5)), 200)]).to_pandas()
     assert {(i, c["start"].min(), c["stop"].max()) for i, c in cuts.groupby("k1")} == {(i, 50, 350) for i in ids}
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pii.trained()
+
+
+DISGUISED = ["john at example.com", "john[at]example.com", "john (at) mail.example.com", "john@example dot com", "john @ example.com", "john@example[.]com", "705\u2013555\u20133138", "705\u00a0555\u00a03138", "[705] 555-3138", "705-555-\n3138", "4111\u00a01111\u00a01111\u00a01111", "4111\u20131111\u20131111\u20131111", "192[.]168[.]10[.]12"]
+
+
+@pytest.mark.parametrize("hidden", DISGUISED)
+def test_disguised_data_is_found(model, hidden):
+    text = f"write {hidden}, thanks"
+    assert pii.SOME.search(text)
+    assert [(s, e) for _, s, e in pii.added_spans(text, pii.base_spans(text), model)] == [(6, 6 + len(hidden))]
+
+
+@pytest.mark.parametrize("text", ["look at example.com, thanks", "in 1990\u20131995 and 2001", "rows\n12\n345\n67\n8901\nend", "meet at noon.Then go", "costs 12\t340\t5600\t9 now"])
+def test_look_alikes_are_left(model, text):
+    assert pii.added_spans(text, pii.base_spans(text), model) == []
