@@ -95,11 +95,11 @@ def exact_dedupe(rows: DataFrame, key: str, seq: str) -> DataFrame:
     return rows.join(first, F.col(key).eqNullSafe(F.col("__key"))).drop("__key").withColumn("kind", F.when(F.col("canonical") == F.col(seq), "canonical").otherwise("exact"))
 
 
-def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text: str, distance: int = 3, rounds: int = 200) -> DataFrame:
+def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text: str, distance: int = 3) -> DataFrame:
     """seq, canonical, kind, distance: greedy first-seen near dedupe on four 16-bit SimHash bands.
 
     A row joins the earliest matching canonical (least band, then seq); a row with none becomes canonical. Solved on distinct keys by rounds: a row whose
-    earlier neighbours are all decided is decided, so the least undecided seq always is. Each round is a written table.
+    earlier neighbours are all decided is decided, so the least undecided seq always is: rounds end, and go on until no row is undecided. Each round is a written table.
     """
     firsts = rows.groupBy(key).agg(F.min(seq).alias("seq"), F.min_by(text, seq).alias("text"))
     hashed = materialize(spark, firsts.select(F.col(key).alias("key"), "seq", simhash64("text").alias("h")), "simhash")
@@ -108,9 +108,7 @@ def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text:
     close = F.bit_count(F.col("h_a").bitwiseXOR(F.col("h_b"))) <= distance
     edges = materialize(spark, a.join(b, ["band", "value"]).where((F.col("seq_a") < F.col("seq_b")) & close).groupBy("seq_a", "seq_b").agg(F.min("band").alias("band"), F.min(F.bit_count(F.col("h_a").bitwiseXOR(F.col("h_b")))).alias("distance")), "near_edges")
     state = materialize(spark, hashed.select("seq", F.lit("?").alias("state")), "near_state")
-    for _ in range(rounds):
-        if state.where("state = '?'").isEmpty():
-            break
+    while not state.where("state = '?'").isEmpty():
         known = state.select(F.col("seq").alias("seq_a"), F.col("state").alias("above"))
         seen = edges.join(known, "seq_a").groupBy("seq_b").agg(F.max((F.col("above") == "canonical").cast("int")).alias("hit"), F.max((F.col("above") == "?").cast("int")).alias("open"))
         new = F.when(F.col("state") != "?", F.col("state")).when(F.coalesce("hit", F.lit(0)) == 1, "near").when(F.coalesce("open", F.lit(0)) == 0, "canonical").otherwise("?")

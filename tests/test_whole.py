@@ -1,8 +1,13 @@
 """Inputs on which a query of the catalog once did less than the whole job."""
 
+import inspect
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from siftstone.operators import corpus
 from siftstone.plans import catalog
 
 
@@ -26,3 +31,19 @@ def test_null_texts_are_a_group(spark, folder, name):
 def test_null_texts_are_near_deduped(spark, folder):
     got = {r["seq"]: (r["canonical"], r["kind"]) for r in catalog.QUERIES["near_dedupe"](spark, folder).collect()}
     assert got == {1: (1, "canonical"), 2: (2, "canonical"), 3: (1, "exact"), 4: (2, "exact"), 5: (1, "exact"), 6: (6, "canonical")}
+
+
+def test_near_dedupe_decides_a_chain_of_any_length(spark, monkeypatch):
+    """Each row is within distance 3 of its neighbours only, so every second row is canonical. A bound on rounds, where there is one, is set below the chain."""
+    bound = {"rounds": 3} if "rounds" in inspect.signature(corpus.near_dedupe).parameters else {}
+    r = random.Random(1)
+    chain = [0]
+    while len(chain) < 10:
+        i, j = r.sample(range(16, 63), 2)
+        h = chain[-1] ^ 1 << i ^ 1 << j
+        if all((h ^ g).bit_count() > 3 for g in chain[:-1]):
+            chain.append(h)
+    monkeypatch.setattr(corpus, "simhash64", lambda c: F.col(c).cast("long"))
+    rows = spark.createDataFrame([(k, str(h), str(k)) for k, h in enumerate(chain)], "seq long, text string, key string").repartition(1)
+    got = sorted((x["seq"], x["canonical"], x["kind"]) for x in corpus.near_dedupe(spark, rows, "key", "seq", "text", **bound).collect())
+    assert got == [(k, k - k % 2, "near" if k % 2 else "canonical") for k in range(10)]
