@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by blockwise sorting of suffixes around a cover sample."""
+"""Removal of repeated byte strings by blockwise hashing of windows around a cover sample."""
 
 from __future__ import annotations
 
@@ -272,8 +272,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", doc
     A byte goes if a string of `span` bytes over it also starts at another place, in the same text or any other.
     1. Equal texts are one: every copy of a text of span bytes or more goes whole, and one copy stands for it below.
     2. Each text's cover sample (see cover()) is hashed; hashes that occur once in the corpus are out (plain aggregation).
-    3. Rows with other samples send the bytes around them to the bucket of the sample's hash. Buckets are sorted one after the
-       other: the suffixes of one shift that agree over span bytes meet. Memory is bounded by HOT contexts of a bucket; windows of
+    3. Rows with other samples send the bytes around them to the bucket of the sample's hash. Buckets are taken one after the
+       other: windows of one shift with equal hashes meet; no suffix is sorted and no sample ranks are computed. Memory is bounded by HOT contexts of a bucket; windows of
        more frequent samples, and of periodic texts, travel as single hashes, which need no bucket in memory.
     4. The spans of a text are united, and the text is cut.
     Null text counts as empty; texts shorter than span lose nothing (unless a longer match covers none of them either).
