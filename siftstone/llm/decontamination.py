@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from siftstone.llm.state import released
 from siftstone.llm.textscan import BASE, Words, mix, powers, scan
 from siftstone.runtime import table
 
@@ -128,9 +129,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, bench: DataFrame, text:
     rest = [c for c in docs.columns if c not in own]
     df = docs.select(F.col(text).alias("__text"), *rest, F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
     for block in blocks:
-        df = df.mapInArrow(lambda b, index=block.frozen(): scanned(b, index), df.schema)
+        df = df.mapInArrow(lambda b, index=block.frozen(): released(scanned(b, index)), df.schema)
     if remove_spans:
-        df = df.mapInArrow(cut, df.schema)
+        df = df.mapInArrow(lambda b: released(cut(b)), df.schema)
         rest = [F.col("__text").alias(c) if c == text else c for c in rest]
     n_items = F.size("items").cast("bigint")
     return df.select(*rest, "n_words", F.size("hits").cast("bigint").alias("n_hit"), n_items.alias("n_items"), "items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_items >= least_items).alias("contaminated"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftstone.llm.state import released
 from siftstone.runtime import table
 
 KINDS = ("email", "ip", "card", "phone")
@@ -344,7 +345,7 @@ def find_pii(spark: SparkSession, docs: DataFrame, text: str = "text", mask: boo
             kept = {c: pa.array(texts, pa.string()) if mask and c == text else batch.column(k + 1) for k, c in enumerate(rest)}
             yield pa.record_batch(kept | {c: pa.array(v, pa.int64() if c[:2] == "n_" else pa.string()) for c, v in columns.items()})
 
-    return rows.mapInArrow(found, schema)
+    return rows.mapInArrow(lambda b: released(found(b)), schema)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.textscan import Words, scan
+from siftstone.llm.state import released
+from siftstone.llm.textscan import Words, buffers, scan
 from siftstone.runtime import table
 
 #: A word here is any run of bytes without ASCII white space.
@@ -31,8 +32,7 @@ KIND[[ord(c) for c in "()[]{}'\""]] = 16
 def counts(column: pa.Array) -> Iterator[tuple[Words, np.ndarray]]:
     """Term counts (rows x SIZE) of whole texts: hashed words, word shapes (the classes of signs in a word, how many signs end it,
     whether it repeats the word before), and how often the distinct words of the text recur."""
-    raw_bytes = column
-    for words in scan(raw_bytes, INSIDE):
+    for words in scan(column, INSIDE, most_rows=512):
         rows = words.last - words.first
         n = np.diff(words.first_word)
         row = np.repeat(np.arange(rows), n)
@@ -58,8 +58,6 @@ def counts(column: pa.Array) -> Iterator[tuple[Words, np.ndarray]]:
 
 
 def shapes(column: pa.Array, words: Words) -> np.ndarray:
-    from siftstone.llm.textscan import buffers
-
     data, offsets = buffers(column)
     kind = KIND[data[offsets[words.first] : offsets[words.last]]]
     classes = np.bitwise_or.reduceat(kind, np.stack((words.starts, words.ends), 1).ravel()[:-1])[::2] if len(words.starts) else np.zeros(0, np.uint8)
@@ -127,7 +125,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
         yield pa.record_batch([pa.array(np.arange(SIZE + 1)), pa.array(np.append(total, rows))], ["term", "df"])
 
     df = np.zeros(SIZE + 1)
-    for r in body.mapInArrow(frequencies, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for r in body.mapInArrow(lambda b: released(frequencies(b)), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect():
         df[r["term"]] = r["df"]
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +134,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, text: str = "te
                 yield pa.record_batch([batch.column(1).slice(words.first, words.last - words.first), pa.array([x.astype(np.float32).tobytes() for x in tf], pa.binary())], ["y", "tf"])
 
     labelled = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), "doc_id").select("text", "y")
-    rows = labelled.mapInArrow(vectors, "y int, tf binary").collect()
+    rows = labelled.mapInArrow(lambda b: released(vectors(b)), "y int, tf binary").collect()
     if not rows:
         return None
     tf = np.stack([np.frombuffer(r["tf"], np.float32) for r in rows])
@@ -173,7 +171,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text: str =
             values = pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
             yield pa.record_batch({name: batch.column(k + 1) for k, name in enumerate(rest)} | {"score": values})
 
-    return rows.mapInArrow(scored, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return rows.mapInArrow(lambda b: released(scored(b)), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.state import kept
+from siftstone.llm.state import kept, released
 from siftstone.llm.textscan import BASE, BYTE, buffers, mix
 from siftstone.runtime import discard, materialize, sized, table
 
@@ -287,14 +287,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", doc
     mark = rows.join(sized(copied.withColumn("is_copy", F.lit(True)), n_copied, 200_000), ["k1", "k2"], "left")
     single = mark.where("is_copy is null or doc_id is null or doc_id = rep").where(F.octet_length("__text") >= span).select("__text", "k1", "k2")
 
-    samples = materialize(spark, single.mapInArrow(lambda b: sampled(b, span), "h bigint, k1 bigint, k2 bigint, times bigint"), "samples")
+    samples = materialize(spark, single.mapInArrow(lambda b: released(sampled(b, span)), "h bigint, k1 bigint, k2 bigint, times bigint"), "samples")
     often = samples.groupBy("h").agg(F.sum("times").alias("times")).where("times > 1")
     wanted = samples.select("h", "k1", "k2").join(often, "h").groupBy("k1", "k2").agg(F.collect_set("h").alias("common"), F.collect_set(F.when(F.col("times") > HOT, F.col("h"))).alias("hot"))
     wanted = materialize(spark, wanted, "wanted")
     discard(spark, samples)
     near = single.join(sized(wanted, wanted.count(), 200_000), ["k1", "k2"]).select("__text", "k1", "k2", "common", "hot")
-    buckets = near.mapInArrow(lambda b: contexts(b, span), "key bigint, k1 bigint, k2 bigint, start bigint, shift int, context binary")
-    found = buckets.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: repeats(b, span), "k1 bigint, k2 bigint, start bigint, stop bigint")
+    buckets = near.mapInArrow(lambda b: released(contexts(b, span)), "key bigint, k1 bigint, k2 bigint, start bigint, shift int, context binary")
+    found = buckets.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: released(repeats(b, span)), "k1 bigint, k2 bigint, start bigint, stop bigint")
     cuts = found.groupBy("k1", "k2").agg(F.collect_list("start").alias("begin"), F.collect_list("stop").alias("end"))
     cuts = materialize(spark, cuts, "cuts")
     whole = mark.join(sized(cuts, cuts.count(), 200_000), ["k1", "k2"], "left")
@@ -302,7 +302,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", doc
     schema = docs.select(F.col(doc_id).alias("doc_id")).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string")
     if with_text:
         schema = schema.add("kept_text", "string")
-    return whole.mapInArrow(lambda b: finished(b, with_text), schema)
+    return whole.mapInArrow(lambda b: released(finished(b, with_text)), schema)
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,15 +50,15 @@ class Words:
     first_word: np.ndarray
 
 
-def scan(column: pa.Array, inside: np.ndarray, chunk: int = 1 << 20) -> Iterator[Words]:
-    """Words (maximal runs of bytes marked in inside, after lower-casing A-Z) of runs of rows of about chunk bytes, in order.
+def scan(column: pa.Array, inside: np.ndarray, chunk: int = 1 << 20, most_rows: int = 1 << 16) -> Iterator[Words]:
+    """Words (maximal runs of bytes marked in inside, after lower-casing A-Z) of runs of at most most_rows rows of about chunk bytes, in order.
 
     A longer text is one run; its bytes are hashed in steps of chunk, so memory beyond its words stays bounded.
     """
     data, offsets = buffers(column)
     first = 0
     while first < len(column):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + chunk, "right")) - 1)
+        last = max(first + 1, min(first + most_rows, int(np.searchsorted(offsets, offsets[first] + chunk, "right")) - 1))
         low = LOWER[data[offsets[first] : offsets[last]]]
         at = offsets[first : last + 1] - offsets[first]
         word = inside[low]
