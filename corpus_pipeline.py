@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.llm import decontamination, ngram_jaccard, packing, pii, quality_knn
 from siftstone.runtime import materialize, sized, table
 
 
+def beside(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """work on doc_id, text and n_chars only; every other column of docs goes along in one struct, so none clashes with what work adds."""
+    own = [c for c in docs.columns if c in ("doc_id", "text", "n_chars")]
+    others = [c for c in docs.columns if c not in own]
+    packed = docs.select(*own, F.struct(*others).alias("__others")) if others else docs
+    return work(packed).select(*[F.col(f"__others.`{c}`").alias(c) if c in others else F.col(c) for c in docs.columns])
+
+
+def recounted(rows: DataFrame, changed: Column) -> DataFrame:
+    """n_chars, where there is such a column, follows a changed text."""
+    if "n_chars" not in rows.columns:
+        return rows
+    return rows.withColumn("n_chars", F.when(changed, F.length("text").cast(rows.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be of quality 1."""
     model = quality_knn.fit(spark, docs, table(spark, sf_dir, "labels"))
-    return quality_knn.score(spark, docs, model).where("predicted = 1").select(*docs.columns)
+    return beside(docs, lambda d: quality_knn.score(spark, d, model).where("predicted = 1"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +46,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go; from others that hold one item's windows the hit words go, the rest stays."""
-    seen = decontamination.decontaminate(spark, docs, table(spark, sf_dir, "benchmark"), remove_spans=True)
-    return seen.where("not contaminated").withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    bench = table(spark, sf_dir, "benchmark")
+    return beside(docs, lambda d: recounted(decontamination.decontaminate(spark, d, bench, remove_spans=True).where("not contaminated"), F.col("n_hit") > 0))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every span of personal data replaced by its kind."""
-    seen = pii.find_pii(spark, docs, mask=True)
-    return seen.withColumn("n_chars", F.when(F.col("spans") != "", F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return beside(docs, lambda d: recounted(pii.find_pii(spark, d, mask=True), F.col("spans") != ""))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +62,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("personal_data", personal_data), ("pack", pack)]
 
-#: No stage but the third is a matter of SQL; tests hold run() against a brute-force version.
+#: No stage but the third is a matter of SQL; tests/llm/test_brute_force.py holds run() against a brute-force version.
 ORACLE_SQL = None
 
 
