@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -18,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir where the cluster names one, else one of this session's own (tests)."""
+    """The folder all executors share: spark.checkpoint.dir where the cluster names one. One of this session's own where all executors are in this process (tests); else it raises, as each machine would write to its own disk."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = "file://" + os.path.join(tempfile.gettempdir(), f"siftstone-{os.getpid()}")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -29,7 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     """Write df once into the shared folder and read it back: it cuts lineage and survives lost executors."""
     path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, None)
+    spark.conf.set(clean, "true")  # the table stands for them: its shuffle files go when it is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.shared_path = path
     return out
