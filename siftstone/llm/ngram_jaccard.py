@@ -27,39 +27,46 @@ def shingle_set(text: Column, n: int = 5) -> Column:
     return F.when(F.coalesce(F.length(lowered), F.lit(0)) == 0, none).otherwise(F.sort_array(F.array_distinct(hashes)))
 
 
-def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80, n: int = 5, rare: int = 64, region: float = 0.35) -> DataFrame:
+def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80, n: int = 5, rare: int = 64, region: float = 0.35, most_rows: int = 2000) -> DataFrame:
     """One row per input row: doc_id, n_shingles, n_similar, component_id.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their shingle sets (exact).
     1. Equal sets are one representative (its smallest doc_id) with a number of copies; groups of any size cost one row.
     2. A set of n shingles misses at most e = floor(n * (100 - percent) / 100) of them in any partner. Shingles in one
-       fixed region of the hash space that no other representative has are counted by two plain aggregations;
-       representatives with more than e of them are out.
+       fixed region of the hash space that no other set has are counted by two plain aggregations, with the hash of a set as its name, so copies
+       need not be told apart first; sets with more than e of them are out.
     3. Of the others every shingle gets its document frequency. Sorted from rare to frequent, partners share a shingle
        among the first e + 1, and two among the first e + 2. The index holds single shingles where they are rare and, for
        documents whose prefix reaches the frequent class, the 2-combinations of the frequent ones in the extended prefix.
        If the first shared shingle is rare both index it alone; otherwise the first two shared ones are both frequent.
+       A key of more than most_rows documents is joined in parts: a document goes to one part as first end and to all as second.
     4. Candidates of fitting sizes are verified on the whole sets.
 
     Null, empty or blank text: n_shingles 0, linked with nothing. Rows with a null doc_id link with nothing and have a null
-    component. Repeated rows of one doc_id and set count as one document and are all returned. Other columns are ignored.
+    component. Repeated rows of one doc_id and set count as one document and are all returned; rows of one doc_id with different sets count as
+    documents of their own. Other columns are ignored.
     """
     slack = lambda size: F.floor(size * (100 - percent) / 100).cast("int")
     cut = int(-(2**63) + region * 2**64)
     sets = docs.select(F.col(doc_id).alias("doc_id"), shingle_set(F.col(text), n).alias("s"))
-    base = materialize(spark, sets.select("doc_id", F.xxhash64("s").alias("k1"), F.xxhash64(F.lit("second"), "s").alias("k2"), F.size("s").alias("n"), F.filter("s", lambda t: t < cut).alias("part")), "jaccard_base")
-    alive = base.where("n > 0 and doc_id is not null").select("doc_id", "k1", "k2", "n").distinct()
+    wide = materialize(spark, sets.select("doc_id", F.xxhash64("s").alias("k1"), F.xxhash64(F.lit("second"), "s").alias("k2"), F.size("s").alias("n"), F.filter("s", lambda t: t < cut).alias("part")), "jaccard_base")
+    counted = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    alive = wide.where(counted).select("doc_id", "k1", "k2", "n").distinct()
     groups = materialize(spark, alive.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard_groups")
-    reps = groups.select("rep", "k1", "k2")
-    is_rep = F.broadcast(reps) if groups.count() <= 200_000 else reps
-    parts = base.join(is_rep, (F.col("doc_id") == F.col("rep")) & (base.k1 == reps.k1) & (base.k2 == reps.k2), "left_semi").select("doc_id", "part")
-    tokens = parts.select("doc_id", F.explode("part").alias("t"))
-    alone = tokens.groupBy("t").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first = last").groupBy("first").agg(F.count("*").alias("alone"))
-    survivors = materialize(spark, groups.join(alone, F.col("rep") == F.col("first"), "left").where(F.coalesce("alone", F.lit(0)) <= slack(F.col("n"))).select("rep", "n"), "jaccard_survivors")
-
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    kept = rows.join(sized(survivors.select(F.col("rep").alias("doc_id"), "n"), survivors.count()), "doc_id").dropDuplicates(["doc_id"]) if _repeats(groups, base) else rows.join(sized(survivors.select(F.col("rep").alias("doc_id"), "n"), survivors.count()), "doc_id")
-    shingles = kept.select("doc_id", "n", F.explode(shingle_set(F.col("text"), n)).alias("t"))
+    tokens = wide.where(counted).select("k1", F.explode("part").alias("t"))
+    alone = tokens.groupBy("t").agg(F.min("k1").alias("first"), F.max("k1").alias("last")).where("first = last").groupBy("first").agg(F.count("*").alias("alone"))
+    left = groups.join(alone, F.col("k1") == F.col("first"), "left").where(F.coalesce("alone", F.lit(0)) <= slack(F.col("n")))
+    documents, rows_alive = groups.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0], wide.where(counted).count()
+    several = rows_alive > wide.where(counted).select("doc_id").distinct().count()  # some doc_id has several rows
+    node = F.col("k1") if several and documents > wide.where(counted).select("doc_id").distinct().count() else F.col("rep")
+    survivors = materialize(spark, left.select(F.col("rep").alias("doc_id"), node.alias("node"), "k1", "n"), "jaccard_survivors")
+    base = materialize(spark, wide.select("doc_id", "k1", "k2", "n"), "jaccard_documents")
+    discard(spark, wide)
+
+    kept = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(sized(survivors, survivors.count()), "doc_id")
+    if several:
+        kept = kept.where(F.xxhash64(shingle_set(F.col("text"), n)) == F.col("k1")).dropDuplicates(["node"])
+    shingles = kept.select(F.col("node").alias("doc_id"), "n", F.explode(shingle_set(F.col("text"), n)).alias("t"))
     frequency = shingles.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
     known = shingles.join(frequency, "t").groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("shared"))
     known = materialize(spark, known.withColumn("left", slack(F.col("n")) - (F.col("n") - F.size("shared"))).where("left >= 0"), "jaccard_sets")
@@ -72,26 +79,32 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, text: str = "text", doc_i
     pairs = heads.select("doc_id", "n", "common", "i", F.explode(F.sequence(F.col("i") + 1, F.size("common"))).alias("j"))
     index = single.union(pairs.select("doc_id", "n", F.xxhash64(F.lit("pair"), F.element_at("common", F.col("i")).t, F.element_at("common", F.col("j")).t).alias("key")))
     index = materialize(spark, index, "jaccard_index")
-    left, right = index.select("key", F.col("doc_id").alias("a"), F.col("n").alias("na")), index.select("key", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
+    heavy = index.groupBy("key").agg(F.count("*").alias("many")).where(F.col("many") > most_rows).select("key", F.ceil(F.col("many") / most_rows).cast("int").alias("parts"))
+    heavy = materialize(spark, heavy, "jaccard_heavy")
+    spread = index.join(sized(heavy, heavy.count()), "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    left = spread.select("key", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int").alias("part"), F.col("doc_id").alias("a"), F.col("n").alias("na"))
+    right = spread.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("doc_id").alias("b"), F.col("n").alias("nb"))
     fits = (F.col("a") < F.col("b")) & (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    candidates = left.join(right, "key").where(fits).select("a", "b").distinct()
+    candidates = left.join(right, ["key", "part"]).where(fits).select("a", "b").distinct()
     candidates = materialize(spark, candidates, "jaccard_candidates")
     links = verified(spark, candidates, known.select("doc_id", "n", F.col("shared.t").alias("s")), percent)
     discard(spark, candidates)
-    discard(spark, index, known)
+    discard(spark, index, heavy, known)
 
     label = components(spark, links)
-    copies = groups.select("rep", "copies")
-    ends = links.union(links.select("b", "a")).toDF("rep", "other")
-    degree = ends.join(copies.toDF("other", "there"), "other").groupBy("rep").agg(F.sum("there").alias("linked"))
-    facts = groups.join(degree, "rep", "left").join(label.withColumnRenamed("id", "rep"), "rep", "left")
-    facts = facts.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_similar"), F.coalesce("component", "rep").alias("component_id"))
+    named = groups.select(node.alias("node"), "rep", "k1", "k2", "copies")
+    ends = links.union(links.select("b", "a")).toDF("node", "other")
+    degree = ends.join(named.select(F.col("node").alias("other"), F.col("copies").alias("there")), "other").groupBy("node").agg(F.sum("there").alias("linked"))
+    first = label.join(named.select(F.col("node").alias("id"), "rep"), "id").groupBy("component").agg(F.min("rep").alias("component_id"))
+    reached = label.join(first, "component").select(F.col("id").alias("node"), "component_id")
+    facts = named.join(degree, "node", "left").join(reached, "node", "left")
+    facts = facts.select("k1", "k2", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_similar"), F.coalesce("component_id", "rep").alias("component_id"))
     whole = base.select("doc_id", "k1", "k2", F.col("n").cast("bigint").alias("n_shingles")).join(facts, ["k1", "k2"], "left")
     inside = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     return whole.select("doc_id", "n_shingles", F.when(inside, F.col("n_similar")).otherwise(F.lit(0)).cast("bigint").alias("n_similar"), F.when(inside, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, most_pairs: int = 200_000) -> DataFrame:
+def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int, most_pairs: int = 50_000) -> DataFrame:
     """The pairs (a, b) whose whole sets link.
 
     A set travels to blocks of pairs, not to pairs. Sets of one family mostly share one of three min-hashes, and their pairs meet in its
@@ -122,14 +135,11 @@ def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: in
     before = spark.conf.get(name)
     spark.conf.set(name, "false")  # blocks are where both ends meet: no second shuffle by the ends
     try:
-        return materialize(spark, out, "jaccard_verified")
+        linked = materialize(spark, out, "jaccard_verified")
     finally:
         spark.conf.set(name, before)
-
-
-def _repeats(groups: DataFrame, base: DataFrame) -> bool:
-    """Whether some doc_id occurs in more rows than documents were counted."""
-    return base.where("n > 0 and doc_id is not null").count() > groups.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    discard(spark, least, met, placed)
+    return linked
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
