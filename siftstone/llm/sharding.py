@@ -69,15 +69,15 @@ def plan(ring: Ring, counts: dict[int, int]) -> list[tuple[int, int, int, int, i
 def shard(spark: SparkSession, docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "text", nodes: int = 128, cells: int = 1 << 16) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, law, shard, slot, grown_shard, home_shard.
 
-    Law `rows`: shard counts are at most one apart. A row's place on the ring is a hash of its doc_id and text, so neither
-    a hot source nor a group of copies shares a place; only rows repeated whole do. The driver sees one count a cell (65,536
+    Law `rows`: shard counts are at most one apart. A row's place on the ring is a hash of its doc_id, so neither
+    a hot source nor a group of copies shares a place, and an edited text stays; only rows of one doc_id share one. The driver sees one count a cell (65,536
     at most, whatever the input), plans runs of ranks, and rows meet their run by a broadcast equi-join on the cell.
     Ranks within a cell are by (doc_id, text_crc32), so results do not depend on partitions or retries.
     Null text: size 1, crc 0. Null doc_id: placed by its text alone. No rows: no rows.
     """
     ring = Ring(shards, nodes, cells)
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body).cast("bigint") + 1).alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.pmod(F.xxhash64(doc_id, text), F.lit(cells)).cast("int").alias("cell"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(body).cast("bigint") + 1).alias("size"), F.crc32(F.encode(body, "UTF-8")).alias("text_crc32"), F.pmod(F.coalesce(F.when(F.col(doc_id).isNotNull(), F.xxhash64(doc_id)), F.xxhash64(text)), F.lit(cells)).cast("int").alias("cell"))
     rows = materialize(spark, rows, "shard_rows")
     counts = {r["cell"]: r["count"] for r in rows.groupBy("cell").count().collect()}
     schema = "cell int, first_rank bigint, many bigint, shard int, first_slot bigint, home_shard int"
