@@ -24,28 +24,9 @@ def domain(url: Column) -> Column:
     return F.when(bare == "", F.lit("unknown")).otherwise(bare)
 
 
-def template_fingerprint(text: Column) -> Column:
-    """SHA-256 of the lower-case text after URLs, then e-mail addresses, then numbers are masked."""
-    out = F.lower(text)
-    for pattern, mask in (("https?://[^ \n]+", "<url>"), ("[a-z0-9._%+-]+@[a-z0-9-]+\\.[a-z0-9.-]+", "<email>"), ("[0-9]+", "<number>")):
-        out = F.regexp_replace(out, pattern, mask)
-    return F.sha2(out, 256)
-
-
-def word_count(words: Column, word: str) -> Column:
-    return F.size(F.filter(words, lambda w: w == word))
-
-
-def ascii_words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: w != "")
-
-
 def wilson(hits: Column, total: Column, z: float = 1.959963984540054) -> tuple[Column, Column]:
     """The Wilson 95 % interval of a share to four places, null for no trials."""
     p, n = hits / total, total.cast("double")
     middle, spread, scale = p + z * z / (2 * n), z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n)), 1 + z * z / n
-    return tuple(F.when(total > 0, F.round((middle + s * spread) / scale, 4)) for s in (-1, 1))
-
-
-def interval_split(rank: Column, share: float = 0.2) -> Column:
-    return F.when(rank < share, "holdout").otherwise("tuning")
+    clamped = lambda x: F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
+    return tuple(F.when(total > 0, F.round(clamped((middle + s * spread) / scale), 4)) for s in (-1, 1))

@@ -1,32 +1,38 @@
-"""Documents to paragraphs, filters and decisions, quality signals, exact and near dedupe, passages."""
+"""Documents to paragraphs and candidates, exact and near dedupe, ranks within a domain, passages."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siftstone.functions.columns import ascii_words, word_count
-from siftstone.functions.python import simhash64
-from siftstone.runtime import discard, materialize
+from siftstone.functions import text as T
+from siftstone.functions.python import repair_text, simhash64, unescape
+from siftstone.operators.ranks import ranked
+from siftstone.runtime import discard, materialize, sized
 
 
 def paragraphs(docs: DataFrame, delimiter: str = "\n\n", text: str = "text") -> DataFrame:
     """Non-empty trimmed parts with their 0-based index among the non-empty ones; ineligible parts count too."""
-    parts = F.filter(F.transform(F.split(text, delimiter), F.trim), lambda p: p != "")
+    outer = f"^{T.SPACE}+|{T.SPACE}+$"
+    parts = F.filter(F.transform(F.split(text, delimiter), lambda p: F.regexp_replace(p, outer, "")), lambda p: p != "")
     return docs.select("*", F.posexplode(parts).alias("paragraph_index", "paragraph"))
 
 
-def eligible(text: Column, least: int = 150, most: int = 5000) -> Column:
-    return F.length(text).between(least, most)
+def cleaned(parts: DataFrame, paragraph: str = "paragraph") -> DataFrame:
+    """source_paragraph as it stands, raw_paragraph with single blanks, and paragraph repaired (entities, encoding damage, ligatures, NFC)."""
+    rows = parts.withColumn("source_paragraph", F.col(paragraph)).withColumn("raw_paragraph", T.squash(F.col(paragraph)))
+    return rows.withColumn(paragraph, T.squash(repair_text("raw_paragraph")))
+
 
+def raw_if_changed(raw: Column, text: Column) -> Column:
+    return F.when(raw != text, raw).otherwise("")
 
-def keyword_hits(text: Column, keywords: Iterable[str]) -> Column:
-    """Sorted keywords that occur in the lower-cased text."""
-    low = F.lower(text)
-    return F.array_compact(F.array(*[F.when(F.contains(low, F.lit(k)), F.lit(k)) for k in sorted(keywords)]))
+
+def eligible(text: Column, least: int = 150, most: int = 5000) -> Column:
+    return F.length(text).between(least, most)
 
 
 def with_neighbours(parts: DataFrame, size: int = 600) -> DataFrame:
@@ -37,111 +43,120 @@ def with_neighbours(parts: DataFrame, size: int = 600) -> DataFrame:
 
 
 def html_to_text(html: Column) -> Column:
-    """Drops blocks without text, turns breaks and block ends into new lines and other tags into spaces, decodes common references."""
-    out = F.regexp_replace(html, r"(?is)<(script|style|noscript|iframe|svg|head)\b[^>]*>.*?</\1>", " ")
-    out = F.regexp_replace(out, r"(?i)<br[^>]*>|</(p|div|li|h[1-6]|tr|blockquote)>", "\n")
-    out = F.regexp_replace(out, "<[^>]+>", " ")
-    for name, sign in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("nbsp", " "), ("copy", "©"), ("middot", "·"), ("amp", "&")):
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(sign))
+    """Drops blocks without text, turns breaks and block ends into new lines and other tags into blanks, decodes all references, collapses blanks and empty lines."""
+    out = F.regexp_replace(html, r"(?is)<(script|style|noscript|iframe|svg|head)[^>]*>.*?</\1>", " ")
+    out = F.regexp_replace(out, r"(?i)<br\s*/?>|</(?:p|div|li|h[1-6]|tr|blockquote)>", "\n")
+    out = unescape(F.regexp_replace(out, "<[^>]+>", " "))
     out = F.regexp_replace(F.regexp_replace(out, "[ \t]+", " "), "\n{3,}", "\n\n")
-    return F.btrim(out, F.lit(" \n\t"))
-
-
-def navigation_or_form(text: Column, markers: Sequence[str], least: int = 5) -> Column:
-    low = F.lower(text)
-    marked = sum((F.contains(low, F.lit(m)).cast("int") for m in markers), F.lit(0))
-    symbols = F.length(F.regexp_replace(text, r"[\p{L}\p{N} \n\t]", "")) / F.length(text)
-    colons, bars = (F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in ":|")
-    return (marked >= least) | ((F.length(text) > 100) & (symbols > 0.15)) | (colons > 5) | (bars > 5)
-
-
-def repetitive(text: Column, least_words: int = 50, most: float = 0.25) -> Column:
-    """More than least_words words, of whose trigrams (the last one is never built) more than `most` repeat."""
-    words = F.filter(F.split(text, "[ \n\t]+"), lambda w: w != "")
-    n = F.size(words)
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1))), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)))
-    return (n > least_words) & (1 - F.size(F.array_distinct(grams)) / F.size(grams) > most)
+    return F.regexp_replace(out, f"^{T.SPACE}+|{T.SPACE}+$", "")
 
 
-def narrative_score(text: Column, forms: Sequence[str], phrases: Sequence[str], soft: Sequence[str], hard: Sequence[str]) -> Column:
-    """Four points at most for each first-person form, three a phrase, two off a soft negative; any hard negative gives -50."""
-    low, words = F.lower(text), ascii_words(text)
-    score = sum((F.least(F.lit(4), word_count(words, f)) for f in forms), F.lit(0))
-    score += sum((3 * F.contains(low, F.lit(p)).cast("int") for p in phrases), F.lit(0)) - sum((2 * F.contains(low, F.lit(s)).cast("int") for s in soft), F.lit(0))
-    bad = F.lit(False)
-    for h in hard:
-        bad = bad | F.contains(low, F.lit(h))
-    return F.when(bad, F.lit(-50)).otherwise(score)
-
-
-def decision(score: Column, narrative: Column, threshold: float = 0.45, least: int = 8) -> Column:
-    return F.when(narrative <= -50, "boilerplate_pre_filter").when(score < threshold, "semantic_threshold").when(narrative < least, "narrative_threshold").otherwise("accepted")
+def exact_dedupe(rows: DataFrame, key: str, seq: str) -> DataFrame:
+    """canonical (least seq of the key) and kind of every row. Only keys of several rows are joined, of which there are few; null keys are one group.
 
+    Least seqs are aggregated before the shuffle, so a key with a third of all rows costs a row a task; the rows themselves shuffle only if those
+    keys are too many to broadcast.
+    """
+    first = rows.groupBy(F.col(key).alias("__key")).agg(F.min(seq).alias("__first"), F.count("*").alias("__n")).where(F.col("__n") > 1).drop("__n")
+    spark = rows.sparkSession
+    first = materialize(spark, first, "repeated")
+    out = rows.join(sized(first, first.count()), F.col(key).eqNullSafe(F.col("__key")), "left").withColumn("canonical", F.coalesce("__first", F.col(seq)))
+    return out.drop("__key", "__first").withColumn("kind", F.when(F.col("canonical") == F.col(seq), "canonical").otherwise("exact"))
 
-def boilerplate_score(text: Column) -> Column:
-    """Points for policy words, many links, few distinct words and repeated lines."""
-    low, words = F.lower(text), ascii_words(text)
-    lines = F.filter(F.split(text, "\n"), lambda x: x != "")
-    policy = F.contains(low, F.lit("license")) | F.contains(low, F.lit("privacy"))
-    links = (F.length(low) - F.length(F.replace(low, F.lit("http"), F.lit("")))) / 4 >= 4
-    poor = (F.size(words) >= 60) & (F.size(F.array_distinct(words)) / F.size(words) < 0.28)
-    same = (F.size(lines) >= 6) & (F.size(F.array_distinct(lines)) / F.size(lines) < 0.6)
-    return policy.cast("int") * 2 + links.cast("int") * 2 + poor.cast("int") * 2 + same.cast("int") * 3
 
+def close_pairs(hashed: DataFrame, distance: int) -> DataFrame:
+    """(seq_a, seq_b, band, distance), seq_a < seq_b, of 64-bit hashes within the distance that share one of four 16-bit bands; band is the first shared.
 
-def exact_dedupe(rows: DataFrame, key: str, seq: str) -> DataFrame:
-    """canonical (least seq of the key, aggregated before the shuffle) and kind of every row. Joined, not windowed: a key with a third of all rows is no group of one task. Null keys are one group."""
-    first = rows.groupBy(F.col(key).alias("__key")).agg(F.min(seq).alias("canonical"))
-    return rows.join(first, F.col(key).eqNullSafe(F.col("__key"))).drop("__key").withColumn("kind", F.when(F.col("canonical") == F.col(seq), "canonical").otherwise("exact"))
+    For a distance of at most 3, at least three of six blocks are equal: pairs meet on the 20 choices of three blocks (about 32 bits, so unrelated hashes
+    rarely meet) and are kept where the choice is their first. Larger distances keep the bands' own rule.
+    """
+    bits = lambda h, at, size: F.shiftrightunsigned(h, at).bitwiseAND((1 << size) - 1)
+    away = F.bit_count(F.col("h_a").bitwiseXOR(F.col("h_b")))
+    shared = F.coalesce(*[F.when(bits(F.col("h_a"), 16 * i, 16) == bits(F.col("h_b"), 16 * i, 16), i) for i in range(4)])
+    if distance <= 3:
+        blocks = [(0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10)]
+        choices = list(combinations(range(6), 3))
+        keys = F.posexplode(F.array(*[F.xxhash64(*[bits(F.col("h"), *blocks[b]) for b in c]) for c in choices]))
+        equal = F.filter(F.array(*[F.when(bits(F.col("h_a"), *b) == bits(F.col("h_b"), *b), F.lit(k)) for k, b in enumerate(blocks)]), lambda k: k.isNotNull())
+        names = F.array(*[F.lit("".join(map(str, c))) for c in choices])
+        own = F.get(names, F.col("choice")) == F.array_join(F.transform(F.slice(equal, 1, 3), lambda k: k.cast("string")), "")
+    else:
+        keys = F.posexplode(F.array(*[bits(F.col("h"), 16 * i, 16) for i in range(4)]))
+        own = F.col("choice") == shared
+    placed = hashed.select("seq", "h", keys.alias("choice", "value"))
+    a, b = (placed.select("choice", "value", F.col("seq").alias(f"seq_{x}"), F.col("h").alias(f"h_{x}")) for x in "ab")
+    near = a.join(b, ["choice", "value"]).where((F.col("seq_a") < F.col("seq_b")) & (away <= distance) & own)
+    return near.select("seq_a", "seq_b", shared.alias("band"), away.alias("distance"))
 
 
 def near_dedupe(spark: SparkSession, rows: DataFrame, key: str, seq: str, text: str, distance: int = 3) -> DataFrame:
-    """seq, canonical, kind, distance: greedy first-seen near dedupe on four 16-bit SimHash bands.
+    """seq, canonical, kind, distance: greedy first-seen near dedupe over SimHash bands.
 
-    A row joins the earliest matching canonical (least band, then seq); a row with none becomes canonical. Solved on distinct keys by rounds: a row whose
-    earlier neighbours are all decided is decided, so the least undecided seq always is: rounds end, and go on until no row is undecided. Each round is a written table.
+    A row joins the earliest matching canonical (least band, then seq); a row with none becomes canonical; an exact copy of a near duplicate is near too.
+    Solved on distinct keys by rounds over edges between undecided keys: a key without an earlier undecided one is canonical, those close to it are near,
+    and edges of both go. The least undecided seq is always decided, so rounds go on until no edge is left.
     """
     firsts = rows.groupBy(key).agg(F.min(seq).alias("seq"), F.min_by(text, seq).alias("text"))
     hashed = materialize(spark, firsts.select(F.col(key).alias("key"), "seq", simhash64("text").alias("h")), "simhash")
-    bands = hashed.select("key", "seq", "h", F.posexplode(F.array(*[F.shiftrightunsigned("h", 16 * i).bitwiseAND(65535) for i in range(4)])).alias("band", "value"))
-    a, b = (bands.select("band", "value", F.col("seq").alias(f"seq_{x}"), F.col("h").alias(f"h_{x}")) for x in "ab")
-    close = F.bit_count(F.col("h_a").bitwiseXOR(F.col("h_b"))) <= distance
-    edges = materialize(spark, a.join(b, ["band", "value"]).where((F.col("seq_a") < F.col("seq_b")) & close).groupBy("seq_a", "seq_b").agg(F.min("band").alias("band"), F.min(F.bit_count(F.col("h_a").bitwiseXOR(F.col("h_b")))).alias("distance")), "near_edges")
-    state = materialize(spark, hashed.select("seq", F.lit("?").alias("state")), "near_state")
-    while not state.where("state = '?'").isEmpty():
-        known = state.select(F.col("seq").alias("seq_a"), F.col("state").alias("above"))
-        seen = edges.join(known, "seq_a").groupBy("seq_b").agg(F.max((F.col("above") == "canonical").cast("int")).alias("hit"), F.max((F.col("above") == "?").cast("int")).alias("open"))
-        new = F.when(F.col("state") != "?", F.col("state")).when(F.coalesce("hit", F.lit(0)) == 1, "near").when(F.coalesce("open", F.lit(0)) == 0, "canonical").otherwise("?")
-        after = materialize(spark, state.join(seen, F.col("seq") == F.col("seq_b"), "left").select("seq", new.alias("state")), "near_state")
-        discard(spark, state)
-        state = after
-    canonical = state.where("state = 'canonical'").select(F.col("seq").alias("seq_a"))
-    first = hashed.join(state, "seq")
-    pick = edges.join(canonical, "seq_a").groupBy("seq_b").agg(F.min(F.struct("band", "seq_a", "distance")).alias("pick"))
-    decided = first.join(pick, F.col("seq") == F.col("seq_b"), "left").select("key", F.col("seq").alias("first"), "state", F.col("pick.seq_a").alias("to"), F.col("pick.distance").alias("d"))
-    out = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq")).join(decided.withColumnRenamed("key", "__key"), F.col("key").eqNullSafe(F.col("__key")))
-    canonical_of = F.when(F.col("state") == "canonical", F.col("first")).otherwise(F.col("to"))
-    kind = F.when(F.col("seq") == canonical_of, "canonical").when(F.col("state") == "canonical", "exact").otherwise("near")
-    return out.select("seq", canonical_of.alias("canonical"), kind.alias("kind"), F.coalesce(F.when(F.col("state") != "canonical", F.col("d")), F.lit(0)).alias("distance"))
-
-
-def passages(rows: DataFrame, document: str, index: str, text: str, most: int = 12, chars: int = 12_000) -> DataFrame:
-    """Runs of neighbouring paragraphs of a document, cut greedily at `most` paragraphs or `chars` characters (joins not counted)."""
-    w = Window.partitionBy(document).orderBy(index)
-    island = F.sum(F.when(F.col(index) == F.lag(index).over(w) + 1, 0).otherwise(1)).over(w)
-    items = F.sort_array(F.collect_list(F.struct(F.col(index).alias("i"), F.length(text).alias("n"))))
-    runs = rows.withColumn("island", island).groupBy(document, "island").agg(items.alias("items"))
-    start = F.struct(F.array().cast("array<struct<first:bigint,last:bigint,parts:int,chars:int>>").alias("done"))
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.try_element_at(acc.done, F.lit(-1))
-        fits = (F.size(acc.done) > 0) & (F.coalesce(last.parts, F.lit(0)) < most) & (F.coalesce(last.chars, F.lit(0)) + x.n <= chars)
-        grown = F.struct(last.first.alias("first"), x.i.cast("bigint").alias("last"), (last.parts + 1).alias("parts"), (last.chars + x.n).alias("chars"))
-        new = F.struct(x.i.cast("bigint").alias("first"), x.i.cast("bigint").alias("last"), F.lit(1).alias("parts"), x.n.alias("chars"))
-        return F.struct(F.when(fits, F.concat(F.slice(acc.done, 1, F.greatest(F.size(acc.done) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc.done, F.array(new))).alias("done"))
-
-
-    folded = F.aggregate("items", start, step)
-    return runs.select(document, F.explode(folded.done).alias("p")).select(document, "p.first", "p.last", "p.parts", "p.chars")
-
-
+    edges = materialize(spark, close_pairs(hashed, distance), "near_edges")
+    open_ = materialize(spark, edges.select("seq_a", "seq_b"), "near_open")
+    found = [edges.select(F.col("seq_b").alias("seq")).where("false")]
+    while not open_.isEmpty():
+        lead = materialize(spark, open_.select(F.col("seq_a").alias("seq")).join(open_.select(F.col("seq_b").alias("seq")), "seq", "left_anti").distinct(), "near_lead")
+        near = materialize(spark, open_.join(lead.withColumnRenamed("seq", "seq_a"), "seq_a", "left_semi").select(F.col("seq_b").alias("seq")).distinct(), "near_gone")
+        gone = lead.union(near)
+        left = open_.join(gone.withColumnRenamed("seq", "seq_a"), "seq_a", "left_anti").join(near.withColumnRenamed("seq", "seq_b"), "seq_b", "left_anti")
+        after = materialize(spark, left.select("seq_a", "seq_b"), "near_open")
+        discard(spark, open_, lead)
+        found.append(near)
+        open_ = after
+    near_all = found[0]
+    for part in found[1:]:
+        near_all = near_all.union(part)
+    near_all = materialize(spark, near_all.select("seq"), "near_all")
+    pick = edges.join(near_all.withColumnRenamed("seq", "seq_a"), "seq_a", "left_anti").groupBy("seq_b").agg(F.min(F.struct("band", "seq_a", "distance")).alias("pick"))
+    pick = pick.join(near_all.withColumnRenamed("seq", "seq_b"), "seq_b", "left_semi")
+    facts = hashed.join(pick, F.col("seq") == F.col("seq_b"), "left").select(F.col("key").alias("__key"), F.col("seq").alias("first"), F.col("pick.seq_a").alias("to"), F.col("pick.distance").alias("d"))
+    out = rows.select(F.col(key).alias("key"), F.col(seq).alias("seq")).join(facts, F.col("key").eqNullSafe(F.col("__key")))
+    canonical = F.coalesce("to", "first")
+    kind = F.when(F.col("seq") == canonical, "canonical").when(F.col("to").isNull(), "exact").otherwise("near")
+    return out.select("seq", canonical.alias("canonical"), kind.alias("kind"), F.coalesce("d", F.lit(0)).alias("distance"))
+
+
+def domain_rank(spark: SparkSession, stories: DataFrame, domain: str = "domain", seq: str = "seq", cap: int = 100) -> DataFrame:
+    """domain_story_rank (running count of the domain in scan order) and within_domain_cap. A domain of any share of the rows is ranked in parts."""
+    out = ranked(spark, stories, [domain], [F.col(seq)], "domain_story_rank")
+    return out.withColumn("within_domain_cap", F.col("domain_story_rank") <= cap)
+
+
+def passage_of(rows: DataFrame, document: str, language: str | None, index: str, text: str, most: int = 12, chars: int = 12_000, seq: str | None = None) -> DataFrame:
+    """rows with first_index, the index at which their passage begins.
+
+    A passage is a run of neighbouring paragraphs of one document and language, cut greedily at `most` paragraphs or `chars` characters (joins not
+    counted). A row without a document is a passage of its own. The budgeted cut folds over one run, which is part of one document.
+    """
+    keys = [document, *([language] if language else [])]
+    w = Window.partitionBy(document).orderBy(index, *([seq] if seq else []))
+    follows = (F.col(index) == F.lag(index).over(w) + 1) & (F.lag(language).over(w) == F.col(language) if language else F.lit(True)) & (F.coalesce(F.col(document).cast("string"), F.lit("")) != "")
+    marked = rows.withColumn("__island", F.sum(F.when(follows, 0).otherwise(1)).over(w))
+    items = F.sort_array(F.collect_list(F.struct(F.col(index).cast("long").alias("i"), F.length(text).cast("long").alias("n"))))
+    runs = marked.groupBy(*keys, "__island").agg(items.alias("items"))
+    none = F.array().cast("array<struct<i:bigint,first:bigint>>")
+    start = F.struct(none.alias("out"), F.lit(None).cast("bigint").alias("first"), F.lit(0).cast("bigint").alias("parts"), F.lit(0).cast("bigint").alias("chars"))
+
+    def step(s: Column, x: Column) -> Column:
+        fits = s["first"].isNotNull() & (s["parts"] < most) & (s["chars"] + x["n"] <= chars)
+        first = F.when(fits, s["first"]).otherwise(x["i"])
+        return F.struct(F.concat(s["out"], F.array(F.struct(x["i"].alias("i"), first.alias("first")))).alias("out"), first.alias("first"), (F.when(fits, s["parts"]).otherwise(0) + 1).cast("bigint").alias("parts"), (F.when(fits, s["chars"]).otherwise(0) + x["n"]).cast("bigint").alias("chars"))
+
+    names = [*keys, "__island"]
+    cuts = runs.select(*[F.col(k).alias(f"__k{n}") for n, k in enumerate(names)], F.explode(F.aggregate("items", start, step)["out"]).alias("c"))
+    cuts = cuts.select(*[f"__k{n}" for n in range(len(names))], F.col("c.i").alias("__i"), F.col("c.first").alias("first_index"))
+    match = [F.col(k).eqNullSafe(F.col(f"__k{n}")) for n, k in enumerate(names)] + [F.col(index).cast("long") == F.col("__i")]
+    return marked.join(cuts, match).drop("__i", *names[-1:], *[f"__k{n}" for n in range(len(names))])
+
+
+def passages(rows: DataFrame, document: str, index: str, text: str, most: int = 12, chars: int = 12_000, language: str | None = None) -> DataFrame:
+    """document, first, last, parts and chars of every passage."""
+    cut = passage_of(rows, document, language, index, text, most, chars)
+    return cut.groupBy(document, F.col("first_index").alias("first"), *([language] if language else [])).agg(F.max(F.col(index).cast("long")).alias("last"), F.count("*").cast("int").alias("parts"), F.sum(F.length(text)).cast("int").alias("chars"))

@@ -2,393 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from siftstone.plans import corpus_queries, label_queries, output_queries, work_queries
+from siftstone.plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from siftstone.functions.columns import ascii_words, digest, domain, hash_rank, interval_split, template_fingerprint
-from siftstone.operators import corpus, evaluation, state
-from siftstone.runtime import table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-#: Vocabulary of these tables; for other corpora these are parameters of the operators.
-KEYWORDS = ("the and", "tion of", "queen", "verein", "haon", "anti")
-FORMS, PHRASES, SOFT, HARD = ("the", "de", "der", "que"), ("of the", "and the", "de la"), ("license", "token"), ("!!", "***")
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-PARTS = """p as (select doc_id, lang, unnest(l) as paragraph, generate_subscripts(l, 1) - 1 as i from
- (select doc_id, lang, list_filter([trim(x) for x in string_split(text, chr(10))], lambda x: x <> '') as l from documents))"""
-HITS = "list_sort(list_filter(['anti','haon','queen','the and','tion of','verein'], lambda k: contains(lower(paragraph), k)))"
-
-
-def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus.paragraphs(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "\n").drop("text")
-
-
-@query(f"with {PARTS} select doc_id, i::int as paragraph_index, length(paragraph)::bigint as n_chars, md5(paragraph) as digest from p")
-def paragraph_explode(spark, sf_dir):
-    return parts(spark, sf_dir).select("doc_id", "paragraph_index", F.length("paragraph").cast("bigint").alias("n_chars"), F.md5("paragraph").alias("digest"))
-
-
-@query(f"with {PARTS}, e as (select *, length(paragraph) between 150 and 5000 as ok, len({HITS}) > 0 as hit from p) select lang, count(*)::bigint as paragraphs, count_if(ok)::bigint as eligible, count_if(ok and not hit)::bigint as keyword_rejected, count_if(ok and hit)::bigint as candidates from e group by lang")
-def eligible_funnel(spark, sf_dir):
-    ok, hit = corpus.eligible(F.col("paragraph")), F.size(corpus.keyword_hits(F.col("paragraph"), KEYWORDS)) > 0
-    return parts(spark, sf_dir).groupBy("lang").agg(F.count("*").alias("paragraphs"), F.count_if(ok).alias("eligible"), F.count_if(ok & ~hit).alias("keyword_rejected"), F.count_if(ok & hit).alias("candidates"))
-
-
-@query(f"with {PARTS} select doc_id, i::int as paragraph_index, array_to_string({HITS}, ',') as hits from p where length(paragraph) between 150 and 5000 and len({HITS}) > 0")
-def keyword_hits(spark, sf_dir):
-    hits = corpus.keyword_hits(F.col("paragraph"), KEYWORDS)
-    return parts(spark, sf_dir).where(corpus.eligible(F.col("paragraph"))).withColumn("h", hits).where(F.size("h") > 0).select("doc_id", "paragraph_index", F.array_join("h", ",").alias("hits"))
-
-
-@query(f"with {PARTS}, c as (select *, lag(paragraph) over w as b, lead(paragraph) over w as a from p window w as (partition by doc_id order by i)) select doc_id, i::int as paragraph_index, coalesce(right(b, 600), '') as context_before, coalesce(left(a, 600), '') as context_after from c")
-def neighbor_context(spark, sf_dir):
-    return corpus.with_neighbours(parts(spark, sf_dir)).select("doc_id", "paragraph_index", "context_before", "context_after")
-
-
-_BLOCKS = "html"
-for _t in ("script", "style", "noscript", "iframe", "svg", "head"):
-    _BLOCKS = rf"regexp_replace({_BLOCKS}, '<{_t}\b[^>]*>.*?</{_t}>', ' ', 'gis')"
-_BLOCKS = rf"regexp_replace(regexp_replace({_BLOCKS}, '<br[^>]*>|</(p|div|li|h[1-6]|tr|blockquote)>', chr(10), 'gi'), '<[^>]+>', ' ', 'g')"
-for _n, _s in (("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'"), ("nbsp", "chr(160)"), ("copy", "'©'"), ("middot", "'·'"), ("amp", "'&'")):
-    _BLOCKS = f"replace({_BLOCKS}, '&{_n};', {_s})"
-
-
-@query(rf"select page_id, trim(regexp_replace(regexp_replace({_BLOCKS}, '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10) || chr(9)) as text from pages")
-def html_to_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", corpus.html_to_text(F.col("html")).alias("text"))
-
-
-MARKERS = ("home", "login", "search", "!!", "|", "***")
-
-
-@query("""select doc_id, (list_sum([contains(lower(text), m)::int for m in ['home','login','search','!!','|','***']]) >= 5
- or (length(text) > 100 and length(regexp_replace(text, '[\\p{L}\\p{N} \\n\\t]', '', 'g')) / length(text) > 0.15) or length(text) - length(replace(text, ':', '')) > 5 or length(text) - length(replace(text, '|', '')) > 5) as flag from documents""".replace("\\\\", "\\"))
-def nav_form_flag(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", corpus.navigation_or_form(F.col("text"), MARKERS).alias("flag"))
-
-
-@query(r"""with w as (select doc_id, list_filter(regexp_split_to_array(text, '[ \n\t]+'), lambda x: x <> '') as l from documents),
- g as (select doc_id, len(l) as n, [concat_ws(' ', l[i], l[i + 1], l[i + 2]) for i in range(1, greatest(len(l) - 3, 1) + 1)] as g from w)
- select doc_id, n > 50 and 1 - len(list_distinct(g)) / len(g) > 0.25 as flag from g""")
-def repetition_flag(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", corpus.repetitive(F.col("text")).alias("flag"))
-
-
-WORDS = "list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda x: x <> '')"
-NARRATIVE = f"""case when contains(lower(text), '!!') or contains(lower(text), '***') then -50 else
- least(4, len(list_filter({WORDS}, lambda x: x = 'the'))) + least(4, len(list_filter({WORDS}, lambda x: x = 'de'))) + least(4, len(list_filter({WORDS}, lambda x: x = 'der'))) + least(4, len(list_filter({WORDS}, lambda x: x = 'que')))
- + 3 * contains(lower(text), 'of the')::int + 3 * contains(lower(text), 'and the')::int + 3 * contains(lower(text), 'de la')::int - 2 * contains(lower(text), 'license')::int - 2 * contains(lower(text), 'token')::int end"""
-
-
-@query(f"select doc_id, ({NARRATIVE})::int as score from documents")
-def narrative_score(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", corpus.narrative_score(F.col("text"), FORMS, PHRASES, SOFT, HARD).cast("int").alias("score"))
-
-
-def rank_sql(key: str) -> str:
-    return f"(('0x' || substr(sha256({key}), 1, 16))::ubigint::double / 18446744073709551616.0)"
-
-
-@query(f"with d as (select doc_id, ({NARRATIVE})::int as n, {rank_sql('doc_id::varchar')} as s from documents) select case when n <= -50 then 'boilerplate_pre_filter' when s < 0.45 then 'semantic_threshold' when n < 8 then 'narrative_threshold' else 'accepted' end as decision, count(*)::bigint as n from d group by 1")
-def decision_ladder(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(hash_rank(F.col("doc_id")).alias("s"), corpus.narrative_score(F.col("text"), FORMS, PHRASES, SOFT, HARD).alias("n"))
-    return rows.groupBy(corpus.decision(F.col("s"), F.col("n")).alias("decision")).agg(F.count("*").alias("n"))
-
-
-@query("select doc_id, sha256(concat_ws(chr(31), source, lang, doc_id::varchar)) as record_id, sha256(concat_ws(chr(31), source, text)) as content_fingerprint from documents")
-def record_identity(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", digest(F.col("source"), F.col("lang"), F.col("doc_id")).alias("record_id"), digest(F.col("source"), F.col("text")).alias("content_fingerprint"))
-
-
-@query(r"select sha256(regexp_replace(regexp_replace(regexp_replace(lower(text), 'https?://[^ \n]+', '<url>', 'g'), '[a-z0-9._%+-]+@[a-z0-9-]+\.[a-z0-9.-]+', '<email>', 'g'), '[0-9]+', '<number>', 'g')) as template, count(*)::bigint as n, min(doc_id) as first_id from documents group by 1")
-def template_fingerprints(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy(template_fingerprint(F.col("text")).alias("template")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"))
-
-
-DOMAIN = r"coalesce(nullif(regexp_replace(trim(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '^www\.', ''), ''), 'unknown')"
-
-
-@query(f"select {DOMAIN} as domain, count(*)::bigint as n from pages group by 1")
-def url_domain(spark, sf_dir):
-    return table(spark, sf_dir, "pages").groupBy(domain(F.col("url")).alias("domain")).agg(F.count("*").alias("n"))
-
-
-@query(f"select page_id, domain, rank::bigint as rank, rank <= 3 as within_cap from (select page_id, {DOMAIN} as domain, row_number() over (partition by {DOMAIN} order by page_id) as rank from pages)")
-def domain_cap(spark, sf_dir):
-    from pyspark.sql.window import Window
-
-    rows = table(spark, sf_dir, "pages").select("page_id", domain(F.col("url")).alias("domain"))
-    rank = F.row_number().over(Window.partitionBy("domain").orderBy("page_id"))
-    return rows.withColumn("rank", rank.cast("bigint")).withColumn("within_cap", F.col("rank") <= 3)
-
-
-BOILER = rf"""(2 * (contains(lower(text), 'license') or contains(lower(text), 'privacy'))::int + 2 * ((length(lower(text)) - length(replace(lower(text), 'http', ''))) / 4 >= 4)::int
- + 2 * (len({WORDS}) >= 60 and len(list_distinct({WORDS})) / len({WORDS}) < 0.28)::int
- + 3 * (len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) >= 6 and len(list_distinct(list_filter(string_split(text, chr(10)), lambda x: x <> ''))) / len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) < 0.6)::int)"""
-
-
-@query(f"select {BOILER}::int as boilerplate_score, count(*)::bigint as n, count_if({BOILER} < 4)::bigint as curated from documents group by 1")
-def boilerplate_features(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(corpus.boilerplate_score(F.col("text")).alias("boilerplate_score"))
-    return rows.groupBy("boilerplate_score").agg(F.count("*").alias("n"), F.count_if(F.col("boilerplate_score") < 4).alias("curated"))
-
-
-@query(r"""select doc_id, case when contains(lower(text), 'pathetic') or contains(lower(text), 'stupid') then 'adult' when contains(lower(text), 'license') then 'commercial'
- when regexp_matches(text, '[0-9]{4}-[0-9]{4}|\+[0-9]') then 'genealogy' else 'personal_prose' end as category from documents""")
-def content_category(spark, sf_dir):
-    low = F.lower("text")
-    category = F.when(F.contains(low, F.lit("pathetic")) | F.contains(low, F.lit("stupid")), "adult").when(F.contains(low, F.lit("license")), "commercial").when(F.col("text").rlike(r"[0-9]{4}-[0-9]{4}|\+[0-9]"), "genealogy").otherwise("personal_prose")
-    return table(spark, sf_dir, "documents").select("doc_id", category.alias("category"))
-
-
-@query("select doc_id, min(doc_id) over (partition by text) as canonical, case when doc_id = min(doc_id) over (partition by text) then 'canonical' else 'exact' end as kind from documents")
-def exact_dedupe(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("fp"))
-    return corpus.exact_dedupe(rows, "fp", "doc_id").select("doc_id", "canonical", "kind")
-
-
-@query("with c as (select doc_id, source, doc_id <> min(doc_id) over (partition by text) as dup from documents) select source, count(*)::bigint as captures, count_if(not dup)::bigint as stories, count_if(dup)::bigint as duplicates from c group by source")
-def provenance(spark, sf_dir):
-    rows = corpus.exact_dedupe(table(spark, sf_dir, "documents").select("doc_id", "source", F.sha2("text", 256).alias("fp")), "fp", "doc_id")
-    return rows.groupBy("source").agg(F.count("*").alias("captures"), F.count_if(F.col("kind") == "canonical").alias("stories"), F.count_if(F.col("kind") == "exact").alias("duplicates"))
-
-
-@query()
-def near_dedupe(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2("text", 256).alias("fp"))
-    return corpus.near_dedupe(spark, rows, "fp", "doc_id", "text")
-
-
-@query("""with recursive c as (select conv_id, turn, length(text) as n, row_number() over (partition by conv_id order by turn) as rn, lag(turn) over (partition by conv_id order by turn) as before from conversations),
- r as (select conv_id, turn, n, rn, turn as first, 1 as parts, n as chars from c where rn = 1
-  union all select c.conv_id, c.turn, c.n, c.rn, case when ok then r.first else c.turn end, case when ok then r.parts + 1 else 1 end, case when ok then r.chars + c.n else c.n end
-  from r join (select * from c) c on c.conv_id = r.conv_id and c.rn = r.rn + 1, lateral (select c.before + 1 = c.turn and r.parts < 3 and r.chars + c.n <= 900 as ok))
- select conv_id, first, max(turn) as last, max(parts)::int as parts, max(chars)::int as chars from r group by conv_id, first""")
-def passages(spark, sf_dir):
-    return corpus.passages(table(spark, sf_dir, "conversations"), "conv_id", "turn", "text", 3, 900)
-
-
-@query("select doc_id, len(list_distinct(regexp_extract_all(text, '(?:19|20)[0-9][0-9]')))::int as years, len(regexp_extract_all(text, '[.!?]+'))::int as sentences from documents")
-def story_metadata(spark, sf_dir):
-    years = F.array_distinct(F.regexp_extract_all("text", F.lit("(?:19|20)[0-9][0-9]"), F.lit(0)))
-    return table(spark, sf_dir, "documents").select("doc_id", F.size(years).alias("years"), F.regexp_count("text", F.lit("[.!?]+")).alias("sentences"))
-
-
-@query("""with a as (select vec_id as i, embedding::double[] as v from embeddings where vec_id < 8), s as (select e.vec_id, i, list_cosine_similarity(e.embedding::double[], a.v) as s from embeddings e, a)
- select vec_id, round(max(s), 6) as score, arg_max(i, round(s, 12) - i * 1e-15) as anchor from s group by vec_id""")
-def anchor_match(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    anchors = [(r["vec_id"], [float(x) for x in r["embedding"]]) for r in rows.where("vec_id < 8").orderBy("vec_id").collect()]
-    return evaluation.anchor_match(rows, anchors, "embedding").select("vec_id", F.round("score", 6).alias("score"), F.col("anchor").cast("bigint").alias("anchor"))
-
-
-SCORED = f"l as (select l.doc_id, d.lang, quality = 1 as y, {rank_sql('l.doc_id::varchar')} as s, 1 + l.doc_id % 3 as w from labels l join documents d using (doc_id))"
-
-
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    return table(spark, sf_dir, "labels").join(docs, "doc_id").select("doc_id", "lang", (F.col("quality") == 1).alias("y"), hash_rank(F.col("doc_id")).alias("s"), (1 + F.col("doc_id") % 3).alias("w"))
-
-
-METRICS = """case when tp + fp > 0 then tp / (tp + fp) else 0.0 end as p, case when tp + fn > 0 then tp / (tp + fn) else 0.0 end as r"""
-CELLS = "{w}(case when y and s >= 0.45 then {v} end) as tp, {w}(case when not y and s >= 0.45 then {v} end) as fp, {w}(case when y and s < 0.45 then {v} end) as fn, {w}(case when not y and s < 0.45 then {v} end) as tn"
-F1 = "round(p, 4) as precision, round(r, 4) as recall, round(case when p + r > 0 then 2 * p * r / (p + r) else 0.0 end, 4) as f1"
-Z = "1.959963984540054"
-LOW, HIGH = (f"case when tp + fp > 0 then round((tp / (tp + fp)::double + {Z} * {Z} / (2 * (tp + fp)) {s} {Z} * sqrt(tp / (tp + fp)::double * (1 - tp / (tp + fp)::double) / (tp + fp) + {Z} * {Z} / (4.0 * (tp + fp) * (tp + fp)))) / (1 + {Z} * {Z} / (tp + fp)), 4) end" for s in "-+")
-
-
-@query(f"with {SCORED}, c as (select lang, {CELLS.format(w='count', v='1')} from l group by lang), m as (select *, {METRICS} from c) select lang, tp, fp, fn, tn, {F1}, {LOW} as precision_low, {HIGH} as precision_high from m")
-def confusion_wilson(spark, sf_dir):
-    return evaluation.confusion(scored(spark, sf_dir), F.col("y"), F.col("s") >= 0.45, by=("lang",))
-
-
-@query(f"with {SCORED}, c as (select {CELLS.format(w='sum', v='w')} from l), m as (select *, {METRICS} from c) select coalesce(tp, 0)::double as tp, coalesce(fp, 0)::double as fp, coalesce(fn, 0)::double as fn, coalesce(tn, 0)::double as tn, {F1} from m")
-def weighted_confusion(spark, sf_dir):
-    return evaluation.confusion(scored(spark, sf_dir), F.col("y"), F.col("s") >= 0.45, F.col("w"))
-
-
-@query(f"with {SCORED} select least(9, greatest(0, floor(s * 10)))::int as bin, count(*)::bigint as n, count_if(y)::bigint as positive, round(avg(s), 6) as mean_score from l group by 1")
-def calibration_bins(spark, sf_dir):
-    bin_ = F.least(F.lit(9), F.greatest(F.lit(0), F.floor(F.col("s") * 10).cast("int"))).alias("bin")
-    return scored(spark, sf_dir).groupBy(bin_).agg(F.count("*").alias("n"), F.count_if("y").alias("positive"), F.round(F.avg("s"), 6).alias("mean_score"))
-
-
-@query(f"""with {SCORED}, g as (select k::int as step from range(41) t(k)), c as (select step, count_if(y and s >= step * 0.02 - 2e-11) as tp, count_if(not y and s >= step * 0.02 - 2e-11) as fp, count_if(y and s < step * 0.02 - 2e-11) as fn from g, l group by step)
- select step, round(step * 0.02, 2)::double as threshold, tp::bigint as tp, fp::bigint as fp, fn::bigint as fn, round(case when tp > 0 then 2 * tp / (2 * tp + fp + fn) else 0.0 end, 4)::double as f1 from c""")
-def threshold_grid(spark, sf_dir):
-    return evaluation.threshold_grid(spark, scored(spark, sf_dir), F.col("y"), "s")
-
-
-@query(f"select doc_id, round({rank_sql('doc_id::varchar')}, 9) as rank from documents where {rank_sql('doc_id::varchar')} < 0.1")
-def hash_rank_sample(spark, sf_dir):
-    rank = hash_rank(F.col("doc_id"))
-    return table(spark, sf_dir, "documents").where(rank < 0.1).select("doc_id", F.round(rank, 9).alias("rank"))
-
-
-HOLD = rank_sql("'holdout|' || doc_id::varchar")
-
-
-@query(f"select lang, case when {HOLD} < 0.2 then 'holdout' else 'tuning' end as split, count(*)::bigint as n from documents group by all")
-def holdout_split(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("lang", interval_split(hash_rank(F.col("doc_id"), "holdout|")).alias("split")).agg(F.count("*").alias("n"))
-
-
-@query(f"with r as (select source, doc_id, row_number() over (partition by source order by {rank_sql('doc_id::varchar')}, doc_id) as place, count(*) over (partition by source) as population from documents) select source, doc_id, place::int as place, population::bigint as population, round(least(1.0, 2.0 / population), 6)::double as probability from r where place <= 2")
-def bottom_k_reservoir(spark, sf_dir):
-    return evaluation.bottom_k(table(spark, sf_dir, "documents").select("source", "doc_id"), "source", "doc_id", 2).select("source", "doc_id", "place", "population", "probability")
-
-
-@query(f"with r as (select lang, doc_id, row_number() over (partition by lang order by {rank_sql('doc_id::varchar')}, doc_id) as turn from documents) select lang, doc_id, turn::int as turn from r order by turn, lang limit 30")
-def round_robin_queue(spark, sf_dir):
-    return evaluation.round_robin(table(spark, sf_dir, "documents").select("lang", "doc_id"), "lang", "doc_id", 30).select("lang", "doc_id", "turn")
-
-
-@query(f"with {SCORED} select lang, count_if(s < 0.3)::bigint as early, count_if(s >= 0.3 and s < 0.6)::bigint as middle, count_if(s >= 0.6)::bigint as late from l group by lang")
-def sampled_funnel(spark, sf_dir):
-    stage = F.when(F.col("s") < 0.3, "early").when(F.col("s") < 0.6, "middle").otherwise("late")
-    return scored(spark, sf_dir).withColumn("stage", stage).groupBy("lang").pivot("stage", ["early", "middle", "late"]).count().na.fill(0)
-
-
-WORK = "w as (select o_orderkey as id, o_custkey as source, case o_orderstatus when 'F' then 'completed' when 'O' then 'pending' else 'failed' end as status, o_totalprice as amount, o_orderdate as at, o_orderpriority as priority from orders)"
-
-
-def work(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "pending").otherwise("failed")
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("source"), status.alias("status"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("at"), F.col("o_orderpriority").alias("priority"))
-
-
-SUMMARY = "count(*)::bigint as total, count_if(status = 'completed')::bigint as completed, count_if(status = 'failed')::bigint as failed, count_if(status = 'pending')::bigint as pending, round(100.0 * count_if(status = 'completed') / count(*), 2)::double as percent"
-
-
-@query(f"with {WORK} select {SUMMARY} from w")
-def state_summary(spark, sf_dir):
-    return state.summary(work(spark, sf_dir), (), "status", "amount").drop("amount")
-
-
-@query(f"with {WORK} select priority, {SUMMARY} from w group by priority")
-def state_by_group(spark, sf_dir):
-    return state.summary(work(spark, sf_dir), ("priority",), "status", "amount").drop("amount")
-
-
-@query(f"with {WORK} select id, status from w where status = 'pending' or (status = 'failed' and id % 7 < 5) order by status <> 'failed', \"at\", id limit 50")
-def claim_order(spark, sf_dir):
-    rows = work(spark, sf_dir).select(F.col("id").alias("file_path"), "status", (F.col("id") % 7).alias("attempts"), F.lit(None).cast("string").alias("next_retry_at"), F.col("at").alias("completed_at"))
-    return state.claim(rows, 50, "2030").select(F.col("file_path").alias("id"), "status")
-
-
-@query(f"with {WORK} select id, least(21600, greatest(1, floor(300 * pow(2.0, id % 7) * (0.75 + 0.5 * (('0x' || substr(sha256('retry|' || id || '|' || (id % 7 + 1)), 1, 8))::bigint::double / 4294967295.0)) + 0.5)))::bigint as delay from w where status = 'failed'")
-def retry_backoff(spark, sf_dir):
-    return work(spark, sf_dir).where("status = 'failed'").select("id", state.retry_delay(F.col("id"), F.col("id") % 7 + 1).alias("delay"))
-
-
-@query("""with m as (select event_id, case event_id % 5 when 0 then 'HTTP 429 received' when 1 then 'read timed out' when 2 then 'status 404' when 3 then 'checksum mismatch' else 'code 14290' end as x from events)
- select case when regexp_matches(lower(x), '(^|[^0-9])(429|503)([^0-9]|$)') then 'rate_limit' when regexp_matches(lower(x), 'timed? ?out') then 'timeout' when regexp_matches(lower(x), '(^|[^0-9])404([^0-9]|$)') then 'missing' when regexp_matches(lower(x), 'checksum|corrupt') then 'corrupt' else 'other' end as category, count(*)::bigint as n, min(event_id) as example from m group by 1""")
-def failure_categories(spark, sf_dir):
-    k = F.col("event_id") % 5
-    x = F.when(k == 0, "HTTP 429 received").when(k == 1, "read timed out").when(k == 2, "status 404").when(k == 3, "checksum mismatch").otherwise("code 14290")
-    return table(spark, sf_dir, "events").groupBy(state.failure_category(x).alias("category")).agg(F.count("*").alias("n"), F.min("event_id").alias("example"))
-
-
-@query(f"""with {WORK}, s as (select priority, count_if(status = 'completed') as c, count_if(status = 'failed') as m, count(*) as t from w group by priority)
- select priority, round((m + 0.1 * 20) / (c + 20) + 0.1 / sqrt(c + 1.0) + 0.05 * 0.1 * (t - c) / greatest(t, 1), 9)::double as score from s""")
-def yield_order(spark, sf_dir):
-    s = work(spark, sf_dir).groupBy("priority").agg(F.count_if(F.col("status") == "completed").alias("c"), F.count_if(F.col("status") == "failed").alias("m"), F.count("*").alias("t"))
-    return s.select("priority", F.round(state.yield_score(F.col("c"), F.col("m"), F.col("t"), F.lit(0.1)), 9).alias("score")).orderBy(F.desc("score"), F.desc("priority"))
-
-
-@query("select user_id, arg_max(event_type, (ts, event_id)) as event_type, max(event_id) filter (ts = m) as event_id from (select *, max(ts) over (partition by user_id) as m from events) group by user_id")
-def latest_wins_history(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
-    return state.latest(rows, "user_id", F.col("ts"), F.col("event_id")).select("user_id", "event_type", "event_id")
-
-
-@query("select event_type, count(*)::bigint as n, round(sum(value) / count(distinct user_id), 4) as per_user, round(max(value), 6) as most from events group by event_type")
-def profile_comparison(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value") / F.count_distinct("user_id"), 4).alias("per_user"), F.round(F.max("value"), 6).alias("most"))
-
-
-@query("""with c as (select doc_id, 'catalog' as origin, false as tombstone from documents where doc_id % 2 = 0), l as (select doc_id, 'loose' as origin, doc_id % 9 = 0 as tombstone from documents where doc_id % 3 = 0)
- select doc_id, origin from (select * from c where doc_id not in (select doc_id from l) union all select * from l) where not tombstone""")
-def manifest_overlay(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").select("doc_id")
-    catalog = ids.where("doc_id % 2 = 0").select("doc_id", F.lit("catalog").alias("origin"), F.lit(False).alias("tombstone"))
-    loose = ids.where("doc_id % 3 = 0").select("doc_id", F.lit("loose").alias("origin"), (F.col("doc_id") % 9 == 0).alias("tombstone"))
-    return state.overlay(catalog, loose, "doc_id").select("doc_id", "origin")
-
-
-BASE_RANK, NEW_RANK = rank_sql("doc_id::varchar"), rank_sql("'b' || doc_id::varchar")
-
-
-@query(f"""with b as (select doc_id, {BASE_RANK} as s from documents where doc_id % 10 <> 0), c as (select doc_id, {BASE_RANK} + 0.001 * {NEW_RANK} as s from documents where doc_id % 10 <> 1)
- select count_if(b.doc_id is not null and c.doc_id is not null)::bigint as shared, count_if(c.doc_id is null)::bigint as missing, count_if(b.doc_id is null)::bigint as added, round(avg(abs(b.s - c.s)), 9) as mean_drift, round(max(abs(b.s - c.s)), 9) as max_drift, round(avg(((b.s >= 0.45) = (c.s >= 0.45))::int), 6)::double as agreement from b full join c on b.doc_id = c.doc_id""")
-def snapshot_compare(spark, sf_dir):
-    ids = table(spark, sf_dir, "documents").select("doc_id")
-    b = ids.where("doc_id % 10 <> 0").select("doc_id", hash_rank(F.col("doc_id")).alias("b"))
-    c = ids.where("doc_id % 10 <> 1").select("doc_id", (hash_rank(F.col("doc_id")) + 0.001 * hash_rank(F.col("doc_id"), "b")).alias("c"))
-    gap = F.abs(F.col("b") - F.col("c"))
-    both = F.col("b").isNotNull() & F.col("c").isNotNull()
-    return b.join(c, "doc_id", "full_outer").agg(F.count_if(both).alias("shared"), F.count_if(F.col("c").isNull()).alias("missing"), F.count_if(F.col("b").isNull()).alias("added"), F.round(F.avg(gap), 9).alias("mean_drift"), F.round(F.max(gap), 9).alias("max_drift"), F.round(F.avg(((F.col("b") >= 0.45) == (F.col("c") >= 0.45)).cast("int")), 6).alias("agreement"))
-
-
-@query("""with a as (select md5(text) as k, count(*) as n from documents where doc_id % 2 = 0 group by 1), b as (select md5(text) as k, count(*) as n from documents where doc_id % 2 = 1 group by 1)
- select coalesce(a.k, b.k) as k, least(coalesce(a.n, 0), coalesce(b.n, 0))::bigint as shared, greatest(coalesce(a.n, 0) - coalesce(b.n, 0), 0)::bigint as only_a, greatest(coalesce(b.n, 0) - coalesce(a.n, 0), 0)::bigint as only_b from a full join b on a.k = b.k""")
-def audit_multiset_diff(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("k"))
-    return state.multiset_difference(rows.where("doc_id % 2 = 0"), rows.where("doc_id % 2 = 1"), "k")
-
-
-@query("select source, count(*)::bigint as missing from documents where doc_id not in (select doc_id from labels) group by source")
-def plan_anti_join(spark, sf_dir):
-    docs, done = table(spark, sf_dir, "documents").select("doc_id", "source"), table(spark, sf_dir, "labels").select("doc_id")
-    return docs.join(done, "doc_id", "left_anti").groupBy("source").agg(F.count("*").alias("missing"))
-
-
-@query("select doc_id, lang, row_number() over (partition by lang order by n_chars desc, doc_id)::int as rank from documents")
-def match_rank(spark, sf_dir):
-    return state.ranked(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars"), "lang", "n_chars", "doc_id").select("doc_id", "lang", "rank")
-
-
-@query("select doc_id, n_chars from documents order by n_chars desc, doc_id limit 25")
-def top_matches(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").orderBy(F.desc("n_chars"), "doc_id").limit(25)
-
-
-@query("select md5(text) as story_id, count(*)::bigint as captures, arg_min(source, doc_id) as representative, array_to_string(list_sort(list(distinct lang)), ',') as langs from documents group by 1")
-def group_stories(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy(F.md5("text").alias("story_id")).agg(F.count("*").alias("captures"), F.min_by("source", "doc_id").alias("representative"), F.array_join(F.array_sort(F.collect_set("lang")), ",").alias("langs"))
-
-
-@query(f"with d as (select {DOMAIN} as domain, count(*) as n from pages group by 1) select count(*)::bigint as domains, sum(n)::bigint as pages, max(n)::bigint as top, round(max(n) / sum(n), 6)::double as top_share, max(n) / sum(n) > 0.2 as warning from d")
-def diversity_report(spark, sf_dir):
-    d = table(spark, sf_dir, "pages").groupBy(domain(F.col("url")).alias("domain")).agg(F.count("*").alias("n"))
-    return d.agg(F.count("*").alias("domains"), F.sum("n").alias("pages"), F.max("n").alias("top"), F.round(F.max("n") / F.sum("n"), 6).alias("top_share"), (F.max("n") / F.sum("n") > 0.2).alias("warning"))
-
-
-@query("select lang, count(*)::bigint as rows, sum(n_chars)::bigint as chars from documents group by lang")
-def partitioned_export_roundtrip(spark, sf_dir):
-    from siftstone.sources.export import publish
-
-    out = publish(spark, table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars"), ["lang"])
-    return out.groupBy("lang").agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars"))
-
-
-@query("select user_id, count(*)::bigint as n, round(sum(value), 4) as total from events group by user_id")
-def streaming_equals_batch(spark, sf_dir):
-    from siftstone.streaming.ingest import totals
-
-    return totals(spark, f"{sf_dir}/events.parquet")
+__all__ = ["ORACLE_SQL", "QUERIES", "corpus_queries", "label_queries", "output_queries", "work_queries"]

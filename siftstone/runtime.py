@@ -7,11 +7,13 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
-#: A side is broadcast only when it was counted and has at most this many (narrow) rows.
+#: A side is broadcast only when it was counted and has at most this many rows and bytes.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,26 @@ def discard(spark: SparkSession, *tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def sized(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if its counted rows are within the limit; else Spark shuffles both sides."""
-    return F.broadcast(df) if rows <= limit else df
+def width(kind: DataType, value: Column) -> Column:
+    """About how many bytes a value takes in memory."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType, ArrayType, StructType, MapType)):
+            return F.coalesce(F.aggregate(value, F.lit(16).cast("bigint"), lambda s, x: s + width(kind.elementType, x)), F.lit(16))
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+    if isinstance(kind, StructType):
+        return sum((width(f.dataType, value[f.name]) for f in kind.fields), F.lit(16))
+    return F.lit(16) if not isinstance(kind, MapType) else F.coalesce(F.octet_length(value.cast("string")), F.lit(0)) + 16
+
+
+def sized(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if its counted rows and bytes are within the limits; else Spark shuffles both sides. Columns of varying width are measured."""
+    if rows > limit:
+        return df
+    fixed = [f for f in df.schema.fields if not isinstance(f.dataType, (StringType, BinaryType, ArrayType, StructType, MapType))]
+    wide = [f for f in df.schema.fields if f not in fixed]
+    total = rows * (24 + 8 * len(fixed))
+    if wide and rows:
+        total += df.agg(F.sum(sum((width(f.dataType, F.col(f"`{f.name}`")).cast("bigint") for f in wide), F.lit(0))).alias("n")).first()["n"] or 0
+    return F.broadcast(df) if total <= most_bytes else df
