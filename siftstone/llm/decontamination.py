@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftstone.llm.state import released
 from siftstone.llm.textscan import BASE, Words, mix, powers, scan
-from siftstone.runtime import table
+from siftstone.runtime import materialize, table
 
 #: Word bytes: digits, lower-case letters and everything beyond ASCII.
 INSIDE = np.zeros(256, bool)
@@ -49,20 +49,22 @@ class Index:
         return out
 
 
-def indexes(rows: list[tuple[object, str | None]], size: int, most: int) -> list[Index]:
-    """Benchmark items as one index, or as several of about `most` windows each."""
-    out = [Index()]
+def indexes(rows: Iterable[tuple[object, str | None]], size: int, most: int) -> Iterator[Index]:
+    """Benchmark items as one index, or one after the other as several of about `most` windows each."""
+    out, made = Index(), 0
     for item, text in rows:
         for words in scan(pa.array([text or ""]), INSIDE):
             n = len(words.starts)
             if n and item is not None:
                 span = min(size, n)
                 for at, h in enumerate(windows(words.hashes, span).tolist()):
-                    out[-1].texts[span][h][spelled(words, at, span)].add(str(item))
-                out[-1].count += n - span + 1
-        if out[-1].count >= most:
-            out.append(Index())
-    return [x for x in out if x.count] or [Index()]
+                    out.texts[span][h][spelled(words, at, span)].add(str(item))
+                out.count += n - span + 1
+        if out.count >= most:
+            yield out
+            out, made = Index(), made + 1
+    if out.count or not made:
+        yield out
 
 
 def found(column: pa.Array, index: list) -> Iterator[tuple[Words, np.ndarray, dict[int, set[str]]]]:
@@ -118,17 +120,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, bench: DataFrame, text:
     """docs with n_words, n_hit, n_items, items (sorted as strings), items_sha256, contaminated; columns of these names are replaced.
 
     The benchmark's windows go to the executors as one hash set if there are at most most_windows of them; a larger
-    benchmark goes in blocks of that size, each scanned over all rows, which carry their hits along. Hash hits are verified on the
+    benchmark goes in blocks of that size, each scanned over all rows, which carry their hits along; a block's result is written before the next block is made, so one index is held at a time. Hash hits are verified on the
     words themselves. No shuffle. With remove_spans the text of rows that have hits loses the runs of hit words. Null or wordless texts have no words; null items are left out, a repeated item counts once.
     """
     from pyspark.sql import functions as F
 
     rows = bench.select(item_id, "text")
-    blocks = indexes([(r[0], r[1]) for r in rows.toLocalIterator()], size, most_windows)
     own = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "hits"]
     rest = [c for c in docs.columns if c not in own]
     df = docs.select(F.col(text).alias("__text"), *rest, F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    for block in blocks:
+    for k, block in enumerate(indexes(((r[0], r[1]) for r in rows.toLocalIterator()), size, most_windows)):
+        if k:
+            df = materialize(spark, df, "scanned")
         df = df.mapInArrow(lambda b, index=block.frozen(): released(scanned(b, index)), df.schema)
     if remove_spans:
         df = df.mapInArrow(lambda b: released(cut(b)), df.schema)

@@ -41,21 +41,23 @@ def keys(url: Column) -> Column:
 def judge(spark: SparkSession, captures: DataFrame, entries: DataFrame, page_id: str = "page_id", url: str = "url", fetched: str = "fetched", salts: int = 16) -> DataFrame:
     """One row per capture: page_id, url, fetched, n_active, rule, blocked.
 
-    n_active: list values of the URL that were listed on the fetch date; rule: the first of them as kind:value. The intervals are counted: a table of at most
-    BROADCAST_ROWS is broadcast, a larger one meets the captures by a shuffle on (kind, value, salt), the intervals repeated per salt, so a host with a third of
+    n_active: list values of the URL that were listed on the fetch date; rule: the first of them as kind:value. Each value is one row with its sorted intervals, so a
+    capture meets a value once, however often that was listed, and takes the last interval that began at or before its fetch date (as of). The values' rows and bytes are measured:
+    small ones are broadcast, else they meet the captures by a shuffle on (kind, value, salt), repeated per salt, so a host with a third of
     all captures is spread over `salts` tasks. Only matches are aggregated. Null url or fetch date, and URLs without a host, match
     nothing. Captures repeated whole are returned each with the same verdict.
     """
     rows = captures.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(fetched).alias("fetched"))
-    listed = materialize(spark, intervals(entries), "intervals")
-    n = listed.count()
+    spans = intervals(entries).groupBy("kind", "value").agg(F.sort_array(F.collect_list(F.struct("since", "until"))).alias("spans"))
+    listed = materialize(spark, spans, "intervals")
     asked = rows.distinct().select("page_id", "url", "fetched", F.explode(keys(F.col("url"))).alias("k")).select("page_id", "url", "fetched", "k.kind", "k.value")
     on = ["kind", "value"]
-    side = sized(listed, n)
+    side = sized(listed, listed.count())
     if side is listed:
         asked = asked.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(salts)).cast("int"))
         side, on = listed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["kind", "value", "salt"]
-    active = asked.join(side, on).where((F.col("since") <= F.col("fetched")) & (F.col("until").isNull() | (F.col("fetched") < F.col("until"))))
+    last = F.try_element_at(F.filter("spans", lambda s: s["since"] <= F.col("fetched")), F.lit(-1))
+    active = asked.join(side, on).withColumn("last", last).where(F.col("last").isNotNull() & (F.col("last.until").isNull() | (F.col("fetched") < F.col("last.until"))))
     verdict = active.groupBy(F.col("page_id").alias("p"), F.col("url").alias("u"), F.col("fetched").alias("f")).agg(F.count("*").alias("n"), F.min(F.concat_ws(":", "kind", "value")).alias("rule"))
     joined = rows.join(verdict, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("url") == F.col("u")) & (F.col("fetched") == F.col("f")), "left")
     return joined.select("page_id", "url", "fetched", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_active"), "rule", F.col("n").isNotNull().alias("blocked"))

@@ -223,6 +223,15 @@ def test_op5(spark, docs, bench):
     assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in rows} == want and len(rows) == len(want)
 
 
+def test_op5_in_blocks(spark, docs, bench):
+    """A benchmark of many blocks gives what one index gives."""
+    from siftstone.llm import decontamination
+
+    df, items = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{SF}/benchmark.parquet").limit(30)
+    one, many = (decontamination.decontaminate(spark, df, items, most_windows=m).drop("text").collect() for m in (10**6, 600))
+    assert sorted(map(repr, one)) == sorted(map(repr, many))
+
+
 def test_op6(spark, docs):
     raw = {i: (t or "").encode() for i, t in docs.items()}
     seen = Counter(b[k : k + 200] for b in raw.values() for k in range(len(b) - 199))
