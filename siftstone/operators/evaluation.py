@@ -22,7 +22,7 @@ def labeled() -> Column:
 def uncertainty(score: Column, narrative: Column, threshold: float = 0.45, least: int = 8) -> Column:
     """The larger of two tents around the thresholds, 0.08 and 4 wide on each side; a null counts as far off."""
     tent = lambda x, at, wide: F.coalesce(F.greatest(F.lit(0.0), 1 - F.abs(x - at) / wide), F.lit(0.0))
-    return F.round(F.greatest(tent(score, threshold, 0.08), tent(narrative, float(least), 4.0)), 4)
+    return F.floor(F.greatest(tent(score, threshold, 0.08), tent(narrative, float(least), 4.0)) * 10_000 + 0.5) / 10_000
 
 
 def evaluation_split(sample_id: Column, role: Column, share: float = 0.2) -> Column:

@@ -22,7 +22,8 @@ SHORT, LONG = [k for k in KEYWORDS if rules.whole_word(k)], [k for k in KEYWORDS
 SOURCE = "list_filter([regexp_replace(x, '^\\s+|\\s+$', '', 'g') for x in string_split(text, chr(10))], lambda x: x <> '')"
 PARTS = f"q as (select doc_id, lang, unnest(l) as source, generate_subscripts(l, 1) - 1 as i from (select doc_id, lang, {SOURCE} as l from documents)), p as (select *, {SQUASH.format(x='source')} as paragraph from q)"
 TOKENS = r"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}_]+')"
-HITS = f"list_sort(list_concat(list_filter({words(LONG)}, lambda k: contains(lower(paragraph), k)), list_filter({words(SHORT)}, lambda k: contains(lower(paragraph), k) and regexp_matches(lower(paragraph), '(^|[^\\p{{L}}\\p{{N}}_])' || k || '($|[^\\p{{L}}\\p{{N}}_])'))))"
+HITS = f"list_sort(list_concat(list_filter({words(LONG)}, lambda k: contains(low, k)), list_filter({words(SHORT)}, lambda k: list_contains(t, k))))"
+LOWER = f"{PARTS}, lo as (select *, lower(paragraph) as low, {TOKENS.format(x='paragraph')} as t from p where length(paragraph) between 150 and 5000)"
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,14 +36,14 @@ def paragraph_explode(spark, sf_dir):
     return parts(spark, sf_dir).select("doc_id", "paragraph_index", F.length("paragraph").cast("bigint").alias("n_chars"), F.md5("paragraph").alias("digest"), F.md5("source_paragraph").alias("source_digest"), raw.alias("raw_text"))
 
 
-@query(f"with {PARTS}, e as (select lang, length(paragraph) between 150 and 5000 as ok, len({HITS}) > 0 as hit from p) select lang, count(*)::bigint as paragraphs, count_if(ok)::bigint as eligible, count_if(ok and not hit)::bigint as keyword_rejected, count_if(ok and hit)::bigint as candidates from e group by lang")
+@query(f"with {LOWER}, h as (select lang, count(*) as e, count_if(len({HITS}) > 0) as c from lo group by lang), n as (select lang, count(*) as n from p group by lang) select lang, n::bigint as paragraphs, coalesce(e, 0)::bigint as eligible, coalesce(e - c, 0)::bigint as keyword_rejected, coalesce(c, 0)::bigint as candidates from n left join h using (lang)")
 def eligible_funnel(spark, sf_dir):
     rows = parts(spark, sf_dir).select("lang", corpus.eligible(F.col("paragraph")).alias("ok"), (F.size(rules.keyword_finder(KEYWORDS)("paragraph")) > 0).alias("hit"))
     ok, hit = F.col("ok"), F.col("hit")
     return rows.groupBy("lang").agg(F.count("*").alias("paragraphs"), F.count_if(ok).alias("eligible"), F.count_if(ok & ~hit).alias("keyword_rejected"), F.count_if(ok & hit).alias("candidates"))
 
 
-@query(f"with {PARTS}, h as (select doc_id, i, {HITS} as hits from p where length(paragraph) between 150 and 5000) select doc_id, i::int as paragraph_index, array_to_string(hits, ',') as hits from h where len(hits) > 0")
+@query(f"with {LOWER}, h as (select doc_id, i, {HITS} as hits from lo) select doc_id, i::int as paragraph_index, array_to_string(hits, ',') as hits from h where len(hits) > 0")
 def keyword_hits(spark, sf_dir):
     rows = parts(spark, sf_dir).where(corpus.eligible(F.col("paragraph"))).withColumn("h", rules.keyword_finder(KEYWORDS)("paragraph"))
     return rows.where(F.size("h") > 0).select("doc_id", "paragraph_index", F.array_join("h", ",").alias("hits"))

@@ -216,7 +216,7 @@ def evaluation_report(spark, sf_dir):
     return rows
 
 
-_U = "round(greatest(coalesce(greatest(0.0, 1 - abs(semantic_score - 0.45) / 0.08), 0.0), coalesce(greatest(0.0, 1 - abs(narrative_score - 8.0) / 4.0), 0.0)), 4)"
+_U = "floor(greatest(coalesce(greatest(0.0, 1 - abs(semantic_score - 0.45) / 0.08), 0.0), coalesce(greatest(0.0, 1 - abs(narrative_score - 8.0) / 4.0), 0.0)) * 10000 + 0.5) / 10000"
 _P = "(('0x' || substr(sample_id, {a}, 16))::ubigint::double / 18446744073709551616.0)"
 
 

@@ -82,8 +82,8 @@ SAMPLES = f"""smp0 as (select sha256(l.doc_id::varchar) as sample_id, l.doc_id a
  case when l.doc_id % 5 = 0 then null when quality = 1 then 'positive' else 'negative' end as label, case when l.doc_id % 6 = 0 then 'poetry' when l.doc_id % 6 = 1 then 'personal_prose' end as content_label, 'personal_prose' as predicted_content_category from labels l join documents d using (doc_id)),
 smp1 as (select *, coalesce(role0, 'legacy') as sample_role, case when rejection_reason is not null then 'keyword_reject' when predicted_accept then 'filter_accept' else 'filter_reject' end as sampling_stratum,
  greatest(coalesce(greatest(0.0, 1 - abs(semantic_score - 0.45) / 0.08), 0.0), coalesce(greatest(0.0, 1 - abs(narrative_score - 8.0) / 4.0), 0.0)) as u from smp0),
-smp as (select * exclude (u, role0), round(u, 4) as uncertainty_score, case when sample_role = 'benchmark' and {rank_sql("'holdout' || chr(0) || sample_id")} < 0.2 then 'holdout' else 'tuning' end as evaluation_split, case when sampling_probability > 0 and sampling_probability <= 1 then 1 / sampling_probability end as sample_weight,
- case when round(u, 4) >= 0.5 then 'decision_boundary' else 'coverage' end as selection_reason from smp1)"""
+smp as (select * exclude (u, role0), (floor(u * 10000 + 0.5) / 10000) as uncertainty_score, case when sample_role = 'benchmark' and {rank_sql("'holdout' || chr(0) || sample_id")} < 0.2 then 'holdout' else 'tuning' end as evaluation_split, case when sampling_probability > 0 and sampling_probability <= 1 then 1 / sampling_probability end as sample_weight,
+ case when (floor(u * 10000 + 0.5) / 10000) >= 0.5 then 'decision_boundary' else 'coverage' end as selection_reason from smp1)"""
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
