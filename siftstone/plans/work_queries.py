@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from siftstone.operators import evaluation, metrics, state
@@ -332,3 +334,26 @@ def vulnerability_policy(spark, sf_dir):
     allowed = [r["n_name"].lower() for r in rows.where("n_nationkey % 5 = 0").toLocalIterator()]
     return metrics.vulnerable(listed, allowed).select("name", F.array_join("ids", ",").alias("ids"), "allowed")
 
+
+
+@query(f"with {WORK} select {ROW} from w")
+def state_archive(spark, sf_dir):
+    """The whole work state archived, checked against its archive and restored."""
+    from siftstone.operators import runs as kept
+    from siftstone.runtime import shared_dir
+
+    rows, path = work(spark, sf_dir), f"{shared_dir(spark)}/archive-{uuid.uuid4().hex}"
+    kept.archive_state(spark, rows, path)
+    if not kept.synchronized(spark, rows, path) or kept.synchronized(spark, rows.limit(1), path):
+        raise RuntimeError("archive and state do not agree")
+    return shown(kept.restore_state(spark, path))
+
+
+@query("select doc_id, length(text)::double as first, (length(text) - length(replace(text, ' ', '')))::double as second from documents")
+def embedded_texts(spark, sf_dir):
+    """Vectors of a stand-in model: the length of a text and its number of blanks."""
+    from siftstone.operators.runs import embedder
+
+    vectors = embedder(lambda: lambda texts: [[float(len(t)), float(t.count(" "))] for t in texts], 64)
+    rows = table(spark, sf_dir, "documents").select("doc_id", vectors("text").alias("v"))
+    return rows.select("doc_id", F.col("v")[0].cast("double").alias("first"), F.col("v")[1].cast("double").alias("second"))

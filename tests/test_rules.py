@@ -115,3 +115,39 @@ def test_refused_work(spark):
     with pytest.raises(ValueError):
         state.crawl_order(rows, "sideways")
     assert metrics.overall(spark.createDataFrame([("pass",), ("warning",)], "status string")).first()[0] == "attention"
+
+
+def test_throttle_and_batches():
+    from siftstone.operators.runs import Batches, Throttle, chunks
+
+    now = [0.0]
+    t = Throttle(8, clock=lambda: now[0])
+    t.observe("failed", "http_503")
+    assert t.slots(0) == 0 and t.now == 4
+    now[0] = 31.0
+    assert t.slots(1) == 3
+    for _ in range(4):
+        t.observe("completed")
+    assert t.now == 5
+    t.observe("failed", "other")
+    assert t.now == 5 and list(chunks(["a", "b"], {"a": 150, "b": 20}, 160)) == [("a", 100), ("b", 20), ("a", 40)]
+
+    def encode(texts):
+        if len(texts) > 10:
+            raise MemoryError
+        return texts
+
+    b = Batches(32)
+    assert b.run(encode, list("x" * 100)) == list("x" * 100) and b.faults >= 2
+    with pytest.raises(MemoryError):
+        Batches(32).run(lambda x: (_ for _ in ()).throw(MemoryError()), ["a"])
+
+
+def test_evidence_is_kept_once(spark):
+    from siftstone.operators.runs import archive_evidence
+
+    folder = f"{shared_dir(spark)}/evidence"
+    one = archive_evidence(spark, {"audit_id": "a/1", "x": 1}, folder)
+    assert archive_evidence(spark, {"audit_id": "a/1", "x": 1}, folder) == one != archive_evidence(spark, {"audit_id": "a/1", "x": 2}, folder)
+    assert len(files.children(spark, folder)) == 2
+    files.remove(spark, folder)
