@@ -129,12 +129,14 @@ def decontaminate(spark: SparkSession, docs: DataFrame, bench: DataFrame, text:
     own = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "hits"]
     rest = [c for c in docs.columns if c not in own]
     df = docs.select(F.col(text).alias("__text"), *rest, F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
-    for k, block in enumerate(indexes(((r[0], r[1]) for r in rows.toLocalIterator()), size, most_windows)):
-        if k:
-            df = materialize(spark, df, "scanned")
-        df = df.mapInArrow(lambda b, index=block.frozen(): released(scanned(b, index)), df.schema)
+    blocks = indexes(((r[0], r[1]) for r in rows.toLocalIterator()), size, most_windows)
+    block = next(blocks)
+    while (after := next(blocks, None)) is not None:
+        df = materialize(spark, df.mapInArrow(lambda b, index=block.frozen(): released(scanned(b, index)), df.schema), "scanned")
+        block = after
+    # the cut goes with the last scan, so a task has one Python worker
+    df = df.mapInArrow(lambda b, index=block.frozen(): released(cut(scanned(b, index)) if remove_spans else scanned(b, index)), df.schema)
     if remove_spans:
-        df = df.mapInArrow(lambda b: released(cut(b)), df.schema)
         rest = [F.col("__text").alias(c) if c == text else c for c in rest]
     n_items = F.size("items").cast("bigint")
     return df.select(*rest, "n_words", F.size("hits").cast("bigint").alias("n_hit"), n_items.alias("n_items"), "items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_items >= least_items).alias("contaminated"))
