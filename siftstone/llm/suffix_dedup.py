@@ -30,11 +30,15 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
     return run(int(BASE)), run(pow(int(BASE), -1, 2**64))
 
 
-def hashes(data: np.ndarray, size: int) -> np.ndarray:
+#: Other numbers for bytes, of the second hash of windows that travel without their bytes.
+OTHER = np.random.default_rng(41).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def hashes(data: np.ndarray, size: int, numbers: np.ndarray = BYTE) -> np.ndarray:
     """64-bit hash of data[s : s + size] for every s."""
     power, inverse = kept("powers", tables)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE[data] * power[: len(data)], out=sums[1:])
+    np.cumsum(numbers[data] * power[: len(data)], out=sums[1:])
     n = max(0, len(data) - size + 1)
     return mix((sums[size : size + n] - sums[:n]) * inverse[:n] + np.uint64(size))
 
@@ -137,9 +141,9 @@ def contexts(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Record
                     out.append((int(signed[k]), a, b, int(lo[k]) + shift, int(at[k] - lo[k]), data[lo[k] : hi[k] + span].tobytes()))
                 if single.any():
                     starts = np.concatenate([np.arange(lo[k], hi[k] + 1) for k in wanted[single]])
-                    w = hashes(data[edges[r] : edges[r + 1]], span)[starts - edges[r]]
-                    order = np.argsort(w, kind="stable")
-                    same = w[order][1:] == w[order][:-1]
+                    w, second = (hashes(data[edges[r] : edges[r + 1]], span, numbers)[starts - edges[r]] for numbers in (BYTE, OTHER))
+                    order = np.lexsort((second, w))
+                    same = (w[order][1:] == w[order][:-1]) & (second[order][1:] == second[order][:-1])
                     twice = np.zeros(len(w), bool)
                     twice[order[1:][same]] = twice[order[:-1][same]] = True
                     later = np.zeros(len(w), bool)
@@ -147,7 +151,7 @@ def contexts(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Record
                     for s, e in spans(np.sort(starts[twice]), span):
                         out.append((e + shift, a, b, s + shift, -2, b""))
                     for k in np.flatnonzero(~later).tolist():
-                        out.append((int(w[k].view(np.int64)), a, b, int(starts[k]) + shift, -1, b""))
+                        out.append((int(w[k].view(np.int64)), a, b, int(starts[k]) + shift, -1, second[k].tobytes()))
             if out:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], ["key", "k1", "k2", "start", "shift", "context"])
@@ -175,15 +179,40 @@ def repeats(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordB
         if len(tail) > 3 * HOT and (tail < 0).all():  # a window of many places: the first two settle that all repeat; settled spans are done
             yield from settled(held, span)
             held = held.filter(pa.array(tail == -1))
-            places = {tuple(p.values()) for p in held.select(["k1", "k2", "start"]).to_pylist()}
-            held = held.slice(0, 1)
-            if len(places) > 1:
-                held = pa.concat_tables([held, held.set_column(3, "start", pa.array([-1 - span], pa.int64()))])
+            places: dict[bytes, set[tuple]] = {}
+            first: dict[bytes, int] = {}
+            for k, p in enumerate(held.select(["k1", "k2", "start", "context"]).to_pylist()):
+                places.setdefault(p["context"], set()).add((p["k1"], p["k2"], p["start"]))
+                first.setdefault(p["context"], k)
+            one = [held.slice(k, 1) for k in first.values()]
+            held = pa.concat_tables([t for c, row in zip(first, one) for t in ([row, row.set_column(3, "start", pa.array([-1 - span], pa.int64()))] if len(places[c]) > 1 else [row])]) if one else held
         yield from settled(now.slice(0, at), span)
     if held is not None and schema is not None:
         yield from settled(held, span)
 
 
+def proven(data: np.ndarray, at: np.ndarray, owner: np.ndarray, windows: np.ndarray, lead: np.ndarray, w: np.ndarray, span: int) -> np.ndarray:
+    """Which windows of equal hash have an equal one byte by byte. A window is compared with the first of its hash: all its bytes, or only the last where
+    its neighbour was compared with that one's neighbour. Should any differ, all are told apart by their bytes."""
+    if not len(windows):
+        return np.zeros(0, bool)
+    follows = np.zeros(len(windows), bool)
+    follows[1:] = (windows[1:] == windows[:-1] + 1) & (owner[windows[1:]] == owner[windows[:-1]]) & (lead[1:] == lead[:-1] + 1) & (owner[lead[1:]] == owner[lead[:-1]])
+    mine, its = at[windows], at[lead]
+    same = (data[mine[follows] + span - 1] == data[its[follows] + span - 1]).all()
+    heads = np.flatnonzero(~follows)
+    for k in range(0, len(heads) if same else 0, 4096):
+        part = heads[k : k + 4096]
+        same = same and (data[mine[part][:, None] + np.arange(span)] == data[its[part][:, None] + np.arange(span)]).all()
+    if same:
+        return np.ones(len(windows), bool)
+    count: dict[tuple[int, bytes], int] = {}
+    keys = [(int(w[k]), data[at[k] : at[k] + span].tobytes()) for k in windows.tolist()]
+    for x in keys:
+        count[x] = count.get(x, 0) + 1
+    return np.array([count[x] > 1 for x in keys], bool)
+
+
 def settled(rows: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
     if not len(rows):
         return
@@ -203,8 +232,15 @@ def settled(rows: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
     done = np.flatnonzero((shift == -2) & (start >= 0) & ~again)
     out += zip(k1[done].tolist(), k2[done].tolist(), start[done].tolist(), key[done].tolist())
     alone = np.flatnonzero((shift == -1) & ~again)
-    _, group, many = np.unique(key[alone], return_inverse=True, return_counts=True)
-    for k in alone[many[group] > 1].tolist():
+    second = np.zeros(len(alone), np.uint64)
+    full = offsets[alone + 1] - offsets[alone] == 8
+    if full.any():
+        second[full] = data[offsets[alone[full]][:, None] + np.arange(8)].view("<u8").ravel()
+    sort = np.lexsort((second, key[alone]))
+    equal = (key[alone][sort][1:] == key[alone][sort][:-1]) & (second[sort][1:] == second[sort][:-1])
+    paired = np.zeros(len(alone), bool)
+    paired[sort[1:][equal]] = paired[sort[:-1][equal]] = True
+    for k in alone[paired].tolist():
         if start[k] >= 0:
             out.append((int(k1[k]), int(k2[k]), int(start[k]), int(start[k]) + span))
     runs = np.flatnonzero((shift >= 0) & ~again)
@@ -225,8 +261,9 @@ def settled(rows: pa.Table, span: int) -> Iterator[pa.RecordBatch]:
         place = np.arange(len(owner)) - np.repeat(np.concatenate(([0], np.cumsum(windows)[:-1])), windows)
         w = hashes(bytes_, span)[edges[:-1][owner] + place]
         w = mix(w + key[part].view(np.uint64)[owner] * np.uint64(0xD6E8FEB86659FD93) + (shift[part][owner] - place).astype(np.uint64))
-        _, group, many = np.unique(w, return_inverse=True, return_counts=True)
+        _, lead, group, many = np.unique(w, return_index=True, return_inverse=True, return_counts=True)
         twice = np.flatnonzero(many[group] > 1)
+        twice = twice[proven(bytes_, edges[:-1][owner] + place, owner, twice, lead[group[twice]], w, span)]
         if len(twice):
             who, at = owner[twice], place[twice]
             cut = np.flatnonzero((np.diff(who) != 0) | (np.diff(at) != 1))
@@ -273,8 +310,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, text: str = "text", doc
     1. Equal texts are one: every copy of a text of span bytes or more goes whole, and one copy stands for it below.
     2. Each text's cover sample (see cover()) is hashed; hashes that occur once in the corpus are out (plain aggregation).
     3. Rows with other samples send the bytes around them to the bucket of the sample's hash. Buckets are taken one after the
-       other: windows of one shift with equal hashes meet; no suffix is sorted and no sample ranks are computed. Memory is bounded by HOT contexts of a bucket; windows of
-       more frequent samples, and of periodic texts, travel as single hashes, which need no bucket in memory.
+       other: windows of one shift with equal hashes meet and are compared byte by byte; no suffix is sorted and no sample ranks are computed. Memory is bounded by HOT contexts of a bucket; windows of
+       more frequent samples, and of periodic texts, travel as two 64-bit hashes each, which need no bucket in memory.
     4. The spans of a text are united, and the text is cut.
     Null text counts as empty; texts shorter than span lose nothing (unless a longer match covers none of them either).
     Rows repeated whole are copies. Results do not depend on the order of rows. Cut UTF-8 is dropped only from kept_text.

@@ -53,6 +53,17 @@ def test_hot_lines_behind_a_header(monkeypatch):
     assert {(i, c["start"].min(), c["stop"].max()) for i, c in cuts.groupby("k1")} == {(i, 50, 350) for i in ids}
 
 
+def test_windows_of_one_hash_are_told_apart_by_their_bytes():
+    """Two contexts that share their hashes but not their bytes, and two that share both."""
+    r = np.random.default_rng(8)
+    a, b = r.integers(97, 123, 210, dtype=np.uint8), r.integers(97, 123, 210, dtype=np.uint8)
+    data = np.concatenate((a, b, a))
+    owner, at = np.repeat([0, 1, 2], 11), np.concatenate([np.arange(11) + 210 * k for k in range(3)])
+    windows, lead, w = np.arange(33), np.tile(np.arange(11), 3), np.tile(np.arange(11), 3).astype(np.uint64)
+    assert suffix_dedup.proven(data, at, owner, windows, lead, w, 200).tolist() == [True] * 11 + [False] * 11 + [True] * 11
+    assert suffix_dedup.proven(np.concatenate((a, a, a)), at, owner, windows, lead, w, 200).all()
+
+
 @pytest.fixture(scope="module")
 def model():
     return pii.trained()
