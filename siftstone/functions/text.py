@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +29,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"{WORD}+"), F.lit(0))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
 def hits(text: Column, phrases: Sequence[str]) -> Column:
     """How many of the phrases occur."""
     return sum((F.contains(text, F.lit(p)).cast("int") for p in phrases), F.lit(0))
@@ -85,6 +90,10 @@ LYRIC_MARK = r"(?i)\[(?:verse|chorus|bridge|hook|intro|outro)(?:\s+\d+)?\]"
 
 def content_class(text: Column, folded: Column, domain: Column) -> Column:
     """struct(category, confidence, flags, reasons). folded: normal(text); domain: of the page."""
+    return bound(folded, lambda once: _class(text, once, domain))
+
+
+def _class(text: Column, folded: Column, domain: Column) -> Column:
     out = None
     for category, domains, phrases, needed, flag, by_domain, by_phrase, evidence in LADDER:
         listed, count = domain_matches(domain, domains), hits(folded, phrases)
@@ -123,17 +132,18 @@ LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
 def boilerplate_features(text: Column) -> Column:
     """Sorted as listed in WEIGHTS: array of the signals that hold. The text is folded once, in Python; all else stays in the JVM."""
 
-    def signals(folded: Column) -> Column:
-        plain = squash(folded)
-        words = tokens(plain)
-        lines = F.filter(F.transform(F.split(folded, LINE_END), squash), lambda x: x != "")
+    def flags(plain: Column, words: Column, lines: Column) -> Column:
         found = [F.when(hits(plain, phrases) >= needed, F.lit(name)) for name, (_, phrases, needed) in BOILER.items()]
         found.append(F.when(F.regexp_count(text, F.lit(URL)) >= 4, F.lit("link_heavy")))
         found.append(F.when((F.size(words) >= 60) & (F.size(F.array_distinct(words)) / F.size(words) < 0.28), F.lit("low_lexical_diversity")))
         found.append(F.when((F.size(lines) >= 6) & (F.size(F.array_distinct(lines)) / F.size(lines) < 0.6), F.lit("repeated_lines")))
         return F.array_compact(F.array(*found))
 
-    return F.transform(F.array(fold(text)), signals)[0]
+    def signals(folded: Column) -> Column:
+        lines = F.filter(F.transform(F.split(folded, LINE_END), squash), lambda x: x != "")
+        return bound(squash(folded), lambda plain: bound(tokens(plain), lambda words: bound(lines, lambda own: flags(plain, words, own))))
+
+    return bound(fold(text), signals)
 
 
 def boilerplate_score(features: Column) -> Column:

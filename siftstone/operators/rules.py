@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
 from siftstone.functions import vocabulary
-from siftstone.functions.text import SPACE, WORD, hits
+from siftstone.functions.text import SPACE, WORD, bound, hits
 from siftstone.functions.vocabulary import items
 
 #: Blocks of scripts that do not part words by blanks: Thai, Hangul, Hiragana, Katakana, Bopomofo to CJK, and their compatibility forms.
@@ -67,7 +67,7 @@ def navigation_or_form(text: Column) -> Column:
     n = F.length(text)
     signs = F.length(F.regexp_replace(text, rf"[\p{{L}}\p{{N}}\s\x0b\x1c-\x1f\x85\p{{Z}}]", ""))
     colons, bars = (n - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in ":|")
-    return (hits(F.lower(text), items(vocabulary.NAVIGATION)) >= 5) | ((n > 100) & (signs / n > 0.15)) | (colons > 5) | (bars > 5)
+    return (bound(F.lower(text), lambda low: hits(low, items(vocabulary.NAVIGATION))) >= 5) | ((n > 100) & (signs / n > 0.15)) | (colons > 5) | (bars > 5)
 
 
 def repetitive(text: Column) -> Column:
@@ -86,10 +86,7 @@ LYRIC_MARKS = r"(?i)\[verse \d+\]|\[(?:bridge|chorus|intro|outro)\]|\((?:bridge|
 
 def rejected(text: Column) -> Column:
     """What no score outweighs: institutional and commercial phrases, lyric marks, repetition, navigation."""
-    low = F.lower(text)
-    hard = F.lit(False)
-    for phrase in items(vocabulary.HARD):
-        hard = hard | F.contains(low, F.lit(phrase))
+    hard = bound(F.lower(text), lambda low: hits(low, items(vocabulary.HARD))) > 0
     return hard | text.rlike(LYRIC_MARKS) | repetitive(text) | navigation_or_form(text)
 
 
@@ -98,12 +95,15 @@ def marker_points(text: Column) -> Column:
 
     A counted marker's signs are struck out, so that a shorter one inside it finds nothing. Texts of Latin letters only take no step of it.
     """
-    points, rest = F.lit(0), F.lower(text)
-    for m in sorted(items(vocabulary.MARKERS), key=lambda m: (-len(m), m)):
-        parts = F.split(rest, f"\\Q{m}\\E", 4)
-        points = points + F.size(parts) - 1
-        rest = F.array_join(parts, "".join(c if c.isspace() else "\x00" for c in m))
-    return F.when(text.rlike("[^\\x00-\\u036f]"), points).otherwise(0)
+    order = sorted(items(vocabulary.MARKERS), key=lambda m: (-len(m), m))
+    struck = ["".join(c if c.isspace() else "\x00" for c in m) for m in order]
+    markers = F.array(*[F.struct(F.lit(f"\\Q{m}\\E").alias("p"), F.lit(s).alias("s")) for m, s in zip(order, struck)])
+
+    def step(state: Column, m: Column) -> Column:
+        return bound(F.split(state["rest"], m["p"], 4), lambda parts: F.struct((state["points"] + F.size(parts) - 1).alias("points"), F.call_function("array_join", parts, m["s"]).alias("rest")))
+
+    start = F.struct(F.lit(0).alias("points"), F.lower(text).alias("rest"))
+    return F.when(text.rlike("[^\\x00-\\u036f]"), F.aggregate(markers, start, step)["points"]).otherwise(0)
 
 
 def narrative_score(text: Column) -> Column:
@@ -114,11 +114,12 @@ def narrative_score(text: Column) -> Column:
         each = lambda w: F.least(F.lit(4), F.size(F.filter(own, lambda x: x == w)))
         return F.when(F.size(own) == 0, 0).otherwise(sum((each(w) * (2 if w == vocabulary.TWICE else 1) for w in names), F.lit(0)))
 
-    low = F.lower(text)
-    own = F.filter(F.regexp_extract_all(low, F.lit(f"{WORD}+"), F.lit(0)), lambda w: w.isin(*names))
-    pronouns = F.transform(F.array(own), counted)[0]
-    several = sum((F.least(F.lit(4), F.regexp_count(low, F.lit(f"(?<!{WORD})\\Q{p}\\E(?!{WORD})"))) for p in items(vocabulary.FIRST_PERSON_PHRASES)), F.lit(0))
-    score = pronouns + several + marker_points(text) + 3 * hits(low, items(vocabulary.NARRATIVE)) - 2 * hits(low, items(vocabulary.SOFT))
+    def points(low: Column) -> Column:
+        own = F.filter(F.regexp_extract_all(low, F.lit(f"{WORD}+"), F.lit(0)), lambda w: w.isin(*names))
+        several = sum((F.least(F.lit(4), F.regexp_count(low, F.lit(f"(?<!{WORD})\\Q{p}\\E(?!{WORD})"))) for p in items(vocabulary.FIRST_PERSON_PHRASES)), F.lit(0))
+        return bound(own, counted) + several + 3 * hits(low, items(vocabulary.NARRATIVE)) - 2 * hits(low, items(vocabulary.SOFT))
+
+    score = bound(F.lower(text), points) + marker_points(text)
     return F.when(rejected(text), F.lit(-50)).otherwise(score)
 
 
