@@ -25,6 +25,40 @@ def test_every_link_of_families_larger_than_the_pool(spark):
     assert embedding_graph.audit(table, found) == 1.0
 
 
+def test_pools_of_a_large_family_are_bounded(monkeypatch):
+    widths = []
+    prune = embedding_graph.robust_prune
+    monkeypatch.setattr(embedding_graph, "robust_prune", lambda *a: widths.append(a[1].shape[1]) or prune(*a))
+    table = vectors([300], 50).rename(columns={"vec_id": "id"}).assign(shard="s", home=True, copies=1)
+    found = embedding_graph.build(table, 24, 1.2, 64, 0.98)
+    assert len(found) == 350 and max(widths) <= 64
+
+
+@pytest.mark.parametrize("shape", ["ring", "families"])
+def test_links_are_counted_not_listed(spark, monkeypatch, shape):
+    """A ring, whose links cross all its shards, and families larger than a shard may be: all links, from a table no larger than the shards."""
+    angle = np.random.default_rng(3).uniform(0, 2 * np.pi, 1500)
+    table = pd.DataFrame({"vec_id": range(1500), "embedding": np.stack((np.cos(angle), np.sin(angle)), 1).tolist(), "label": 0}) if shape == "ring" else vectors([400, 200] + [20] * 10, 300)
+    table = pd.concat([table, table.head(50).assign(vec_id=range(10_000, 10_050))])
+    rows = {}
+    write = embedding_graph.materialize
+
+    def counting(s, df, tag):
+        out = write(s, df, tag)
+        rows[tag] = rows.get(tag, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(embedding_graph, "materialize", counting)
+    found = embedding_graph.near_duplicates(spark, spark.createDataFrame(table, "vec_id long, embedding array<double>, label int"), target=32).toPandas().set_index("vec_id")
+    x = embedding_graph.unit(table["embedding"])
+    links = x @ x.T >= 0.98
+    assert len(found) == len(table) and rows["vector_links"] <= 4 * len(table)
+    n, want = found.loc[table["vec_id"], "n_links"].to_numpy(), links.sum(1) - 1
+    assert (n <= want).all() and n.sum() >= 0.99 * want.sum()
+    component = found.loc[table["vec_id"], "component_id"].to_numpy()
+    assert (links & (component[:, None] != component)).sum() <= 0.01 * want.sum()
+
+
 def test_spans_of_one_end_in_many_texts(monkeypatch):
     """More than 3 * HOT texts with a settled span, or a hot window, at the same place: none gets a span of another place."""
     monkeypatch.setattr(suffix_dedup, "HOT", 4)
