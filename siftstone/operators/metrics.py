@@ -10,8 +10,8 @@ from siftstone.operators.state import failure_category, history
 COUNTERS = ("records_processed", "eligible_paragraphs", "keyword_rejected", "keyword_candidates", "matches_accepted", "matches_committed", "bytes_read")
 
 
-def run_snapshot(sources: DataFrame, elapsed: float, target: int) -> DataFrame:
-    """One row of a run: sources by status, summed counters, rates, the funnel and the seconds that are left at this pace.
+def run_snapshot(sources: DataFrame, elapsed: float, target: int, overrun: bool = False) -> DataFrame:
+    """One row of a run: sources by status, summed counters, rates, the funnel and the seconds that are left at this pace: none beyond the target, or, with overrun, less than none.
 
     sources: status, the COUNTERS and peak_worker_rss_bytes, a row a source. Counters add and peaks are maxima, so partial results combine before the shuffle.
     """
@@ -19,7 +19,7 @@ def run_snapshot(sources: DataFrame, elapsed: float, target: int) -> DataFrame:
     out = sources.agg(*[of(s) for s in ("completed", "failed", "interrupted")], *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS], F.round(F.coalesce(F.max("peak_worker_rss_bytes"), F.lit(0)) / 1048576, 1).alias("peak_worker_rss_mb"))
     done = F.col("files_completed") + F.col("files_failed") + F.col("files_interrupted")
     rate = done / elapsed
-    left = F.greatest(F.lit(target) - done, F.lit(0))
+    left = F.lit(target) - done if overrun else F.greatest(F.lit(target) - done, F.lit(0))
     rates = {"files_per_hour": rate * 3600, "records_per_second": F.col("records_processed") / elapsed, "candidates_per_second": F.col("keyword_candidates") / elapsed, "matches_per_hour": F.col("matches_committed") / elapsed * 3600, "megabytes_per_second": F.col("bytes_read") / 1_000_000 / elapsed}
     out = out.withColumns({n: F.round(c, 3) for n, c in rates.items()}).withColumn("eta_seconds", F.when(rate > 0, F.round(left / rate, 1)))
     return out.withColumn("filter_rejected", F.greatest(F.lit(0), F.col("keyword_candidates") - F.col("matches_accepted"))).withColumn("target_files", F.lit(target)).withColumn("elapsed_seconds", F.lit(round(elapsed, 3)))

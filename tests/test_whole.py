@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from siftstone.operators import corpus
+from siftstone.operators import corpus, metrics
 from siftstone.plans import catalog
 
 
@@ -66,3 +66,12 @@ def test_references_without_semicolon_stay_as_in_sql(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/pages.parquet")
     assert dict(map(tuple, same_as_sql(spark, tmp_path, "html_to_text", "pages")))[2] == "d&&amp\ne &copy f"
     assert df.where("page_id = 2").select(corpus.html_to_text(F.col("html"))).first()[0] == "d&&\ne © f"
+
+
+def test_seconds_left_beyond_the_target(spark, tmp_path):
+    """More sources done than the target of a million: the query follows its SQL below zero, the snapshot itself stops at none."""
+    k = F.col("id")
+    spark.range(1_200_000).select(k.alias("o_orderkey"), (k % 7).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit("1998-01-02").cast("date").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    assert same_as_sql(spark, tmp_path, "run_counters", "orders")[0]["eta_seconds"] == -833.3
+    rows = spark.createDataFrame([("completed", *[0] * 8)] * 3, "status string, " + ", ".join(f"{c} int" for c in (*metrics.COUNTERS, "peak_worker_rss_bytes")))
+    assert metrics.run_snapshot(rows, 3.0, 2).first()["eta_seconds"] == 0.0
