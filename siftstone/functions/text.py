@@ -98,7 +98,7 @@ def _class(text: Column, folded: Column, domain: Column) -> Column:
     for category, domains, phrases, needed, flag, by_domain, by_phrase, evidence in LADDER:
         listed, count = domain_matches(domain, domains), hits(folded, phrases)
         if category == "lyrics":
-            count = count + text.rlike(LYRIC_MARK).cast("int") + (F.contains(folded, F.lit("album:")) & F.contains(folded, F.lit("artist:"))).cast("int")
+            count = count + (F.contains(text, F.lit("[")) & text.rlike(LYRIC_MARK)).cast("int") + (F.contains(folded, F.lit("album:")) & F.contains(folded, F.lit("artist:"))).cast("int")
         reason = F.lit("adult_source_or_marker") if evidence is None else F.when(listed, f"{evidence}_source").otherwise(f"{evidence}_markers")
         value = F.struct(F.lit(category).alias("category"), F.when(listed, by_domain).otherwise(by_phrase).alias("confidence"), F.array(F.lit(flag), F.lit("exclude_from_default_curated")).alias("flags"), F.array(reason).alias("reasons"))
         out = F.when(listed | (count >= needed), value) if out is None else out.when(listed | (count >= needed), value)
@@ -111,11 +111,16 @@ def _class(text: Column, folded: Column, domain: Column) -> Column:
 URL = r"(?i)https?://[^\s\x0b\x1c-\x1f\x85\p{Z}]+|www\.[^\s\x0b\x1c-\x1f\x85\p{Z}]+"
 
 
+def may_link(folded: Column) -> Column:
+    """A cheap test that no text with a URL fails; the pattern itself is slow."""
+    return F.contains(folded, F.lit("http")) | F.contains(folded, F.lit("www."))
+
+
 def template_fingerprint(text: Column) -> Column:
     """SHA-256 of the normal text after URLs, then e-mail addresses, then numbers are masked."""
-    masked = F.regexp_replace(normal(text), URL, "<url>")
-    masked = F.regexp_replace(masked, r"(?U)\b[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}\b", "<email>")
-    masked = F.regexp_replace(masked, r"(?U)\b\d+(?:[.,:/-]\d+)*\b", "<number>")
+    masked = bound(normal(text), lambda plain: F.when(may_link(plain), F.regexp_replace(plain, URL, "<url>")).otherwise(plain))
+    masked = bound(masked, lambda x: F.when(F.contains(x, F.lit("@")), F.regexp_replace(x, r"(?U)\b[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}\b", "<email>")).otherwise(x))
+    masked = bound(masked, lambda x: F.when(x.rlike(r"\p{Nd}"), F.regexp_replace(x, r"(?U)\b\d+(?:[.,:/-]\d+)*\b", "<number>")).otherwise(x))
     return F.sha2(masked, 256)
 
 
@@ -134,7 +139,7 @@ def boilerplate_features(text: Column) -> Column:
 
     def flags(plain: Column, words: Column, lines: Column) -> Column:
         found = [F.when(hits(plain, phrases) >= needed, F.lit(name)) for name, (_, phrases, needed) in BOILER.items()]
-        found.append(F.when(F.regexp_count(text, F.lit(URL)) >= 4, F.lit("link_heavy")))
+        found.append(F.when(may_link(plain) & (F.regexp_count(text, F.lit(URL)) >= 4), F.lit("link_heavy")))
         found.append(F.when((F.size(words) >= 60) & (F.size(F.array_distinct(words)) / F.size(words) < 0.28), F.lit("low_lexical_diversity")))
         found.append(F.when((F.size(lines) >= 6) & (F.size(F.array_distinct(lines)) / F.size(lines) < 0.6), F.lit("repeated_lines")))
         return F.array_compact(F.array(*found))
@@ -186,12 +191,13 @@ TIMES = r"(?iU)\b(?:after \d+ years?|before I left|during my childhood|growing u
 def story_metadata(text: Column, date: Column) -> Column:
     """struct of places, years, decades, time phrases, routes, capture year and confidence, as regular expressions find them."""
     edge = lambda x: F.regexp_replace(x, r"^[ ,.;:!?]+|[ ,.;:!?]+$", "")
-    every = lambda pattern, group=0: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    years = F.array_sort(F.array_distinct(F.transform(every(r"(?U)\b(?:18|19|20)\d{2}\b"), lambda y: y.cast("int"))))
-    decades = F.array_sort(F.array_distinct(F.transform(every(r"(?iU)\b(?:18|19|20)\d0s\b"), F.lower)))
+    every = lambda pattern, group=0, if_=F.lit(True): F.when(if_, F.regexp_extract_all(text, F.lit(pattern), F.lit(group))).otherwise(F.when(text.isNotNull(), F.array().cast("array<string>")))
+    dated, routed = text.rlike("18|19|20"), F.contains(text, F.lit("rom"))  # cheap tests that no match fails
+    years = F.array_sort(F.array_distinct(F.transform(every(r"(?U)\b(?:18|19|20)\d{2}\b", if_=dated), lambda y: y.cast("int"))))
+    decades = F.array_sort(F.array_distinct(F.transform(every(r"(?iU)\b(?:18|19|20)\d0s\b", if_=dated), F.lower)))
     times = F.transform(F.array_sort(F.transform(F.array_distinct(every(TIMES)), lambda t: F.struct(F.lower(t).alias("low"), t.alias("t")))), lambda s: s["t"])
     named = F.filter(F.transform(every(PLACE, 1), edge), lambda p: (F.length(p) >= 2) & ~F.lower(p).isin("home", "school", "town"))
-    trips = F.filter(F.zip_with(F.transform(every(ROUTE, 1), edge), F.transform(every(ROUTE, 2), edge), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda r: F.lower(r["a"]) != F.lower(r["b"]))
+    trips = F.filter(F.zip_with(F.transform(every(ROUTE, 1, routed), edge), F.transform(every(ROUTE, 2, routed), edge), lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda r: F.lower(r["a"]) != F.lower(r["b"]))
     places = F.array_distinct(F.concat(named, F.flatten(F.transform(trips, lambda r: F.array(r["a"], r["b"])))))
     routes = F.array_distinct(F.transform(trips, lambda r: F.concat(r["a"], F.lit(" -> "), r["b"])))
     year = F.nullif(F.regexp_extract(F.coalesce(date, F.lit("")), r"(?U)\b(?:18|19|20)\d{2}\b", 0), F.lit("")).cast("int")

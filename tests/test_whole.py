@@ -2,11 +2,14 @@
 
 import inspect
 import random
+import unicodedata
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from siftstone.functions import python
 from siftstone.operators import corpus, metrics
 from siftstone.plans import catalog
 
@@ -75,3 +78,35 @@ def test_seconds_left_beyond_the_target(spark, tmp_path):
     assert same_as_sql(spark, tmp_path, "run_counters", "orders")[0]["eta_seconds"] == -833.3
     rows = spark.createDataFrame([("completed", *[0] * 8)] * 3, "status string, " + ", ".join(f"{c} int" for c in (*metrics.COUNTERS, "peak_worker_rss_bytes")))
     assert metrics.run_snapshot(rows, 3.0, 2).first()["eta_seconds"] == 0.0
+
+
+def test_plain_latin_texts_stay_out_of_python(spark, monkeypatch):
+    """Folding and repair send only texts to Python that Spark cannot treat alike, so a worker's memory does not grow with plain texts."""
+    rows = ["Plain TEXT", "Straße Ärger déjà ÑANDÚ", "", None, "a & b"]
+    odd = ["ﬁn", "x²", "a\xa0b", "Σας", "é", "cafÃ© &amp;"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(rows + odd)], "k int, t string")
+    want = [(plain(t).casefold(), python.plain_repair(t)) for plain in (lambda t: unicodedata.normalize("NFKC", t or ""),) for t in rows + odd]
+    of = [python.fold("t"), python.repair_text("t")]
+    assert [tuple(r) for r in df.orderBy("k").select(*of).collect()] == want
+    for name in ("_fold", "_repair"):
+        monkeypatch.setattr(python, name, lambda c: F.when(c.isNotNull(), F.raise_error(F.lit("sent to Python"))).cast("string"))
+    assert [tuple(r) for r in df.where(f"k < {len(rows)}").orderBy("k").select(python.fold("t"), python.repair_text("t")).collect()] == want[: len(rows)]
+
+
+def test_python_functions_work_by_slices():
+    """No more than a slice of a batch is turned into Python objects at a time, whatever the batch."""
+    import pyarrow as pa
+
+    most, live = [0], [0]
+
+    class Counted(str):
+        def __new__(cls, t):
+            live[0] += 1
+            most[0] = max(most[0], live[0])
+            return str.__new__(cls, t)
+
+        def __del__(self):
+            live[0] -= 1
+
+    apply = python.by_slices(lambda t: Counted(t.upper()), StringType(), 4).func
+    assert [b.to_pylist() for b in apply(iter([pa.array(["a", "b"] * 50), pa.array([], pa.string())]))] == [["A", "B"] * 50, []] and most[0] <= 8
