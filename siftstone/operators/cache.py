@@ -107,16 +107,14 @@ def signature_of(*parts: Column) -> Column:
 
 
 def detector(model: Callable[[str], tuple[str, float]], chars: int = 500):
-    """A vectorised language function over any model: the first `chars` characters on one line; blank text is unknown with confidence 0."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
+    """A vectorised language function over any model: the first `chars` characters on one line; blank text is unknown with confidence 0. No more of a text goes to Python."""
+    from pyspark.sql.types import StructType
 
-    def detect(texts: pd.Series) -> pd.DataFrame:
-        def one(t: str | None) -> tuple[str, float]:
-            clean = (t or "")[:chars].replace("\n", " ").strip()
-            return model(clean) if clean else ("unknown", 0.0)
+    from siftstone.functions.python import by_slices
 
-        return pd.DataFrame([one(t) for t in texts], columns=["language", "confidence"])
+    def one(t: str | None) -> dict[str, object]:
+        clean = (t or "").replace("\n", " ").strip()
+        return dict(zip(("language", "confidence"), model(clean) if clean else ("unknown", 0.0)))
 
-    detect.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
-    return pandas_udf(detect, "language string, confidence double")
+    detect = by_slices(one, StructType().add("language", "string").add("confidence", "double"))
+    return lambda text: detect(F.substring(text, 1, chars))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from siftstone.functions import python
-from siftstone.operators import corpus, metrics
+from siftstone.operators import cache, corpus, metrics
 from siftstone.plans import catalog
 
 
@@ -110,3 +110,12 @@ def test_python_functions_work_by_slices():
 
     apply = python.by_slices(lambda t: Counted(t.upper()), StringType(), 4).func
     assert [b.to_pylist() for b in apply(iter([pa.array(["a", "b"] * 50), pa.array([], pa.string())]))] == [["A", "B"] * 50, []] and most[0] <= 8
+
+
+def test_detector_is_given_the_beginning_only(spark):
+    """What goes to Python is cut before it goes there."""
+    df = spark.createDataFrame([("é" * 700,), ("  \n ",), (None,)], "t string")
+    found = df.select(cache.detector(lambda t: (str(len(t)), 1.0))("t").alias("p")).select("p.*")
+    assert sorted(map(tuple, found.collect())) == [("500", 1.0), ("unknown", 0.0), ("unknown", 0.0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(" in plan.lower()
