@@ -8,10 +8,11 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from siftstone.functions import vocabulary
-from siftstone.functions.text import SPACE, WORD, bound, hits
+from siftstone.functions.python import by_slices
+from siftstone.functions.text import WORD, bound
 from siftstone.functions.vocabulary import items
 
 #: Blocks of scripts that do not part words by blanks: Thai, Hangul, Hiragana, Katakana, Bopomofo to CJK, and their compatibility forms.
@@ -62,23 +63,58 @@ def keyword_finder(keywords: Sequence[str]):
     return find
 
 
+def _reader():
+    """What the rules look for in a lower-cased text, found in one pass of an automaton over its phrases and one over its words."""
+    import re
+    from collections import Counter
+
+    import ahocorasick
+
+    of: dict[str, list[str]] = {}
+    for kind, phrases in (("hard", vocabulary.HARD), ("navigation", vocabulary.NAVIGATION), ("told", vocabulary.NARRATIVE), ("soft", vocabulary.SOFT)):
+        for p in items(phrases):
+            of.setdefault(p, []).append(kind)
+    machine = ahocorasick.Automaton()
+    for p in of:
+        machine.add_word(p, p)
+    machine.make_automaton()
+    names, twice, word = frozenset(items(vocabulary.FIRST_PERSON)), vocabulary.TWICE, re.compile(r"\w+")
+    several = [(p, re.compile(rf"(?<!\w){re.escape(p)}(?!\w)")) for p in items(vocabulary.FIRST_PERSON_PHRASES)]
+
+    def read(low: str | None) -> dict | None:
+        if low is None:
+            return None
+        found = Counter(kind for p in {p for _, p in machine.iter(low)} for kind in of[p])
+        words, repetitive = low.split(), False
+        if len(words) > 50:
+            grams = len(words) - 3
+            repetitive = 1 - len(set(zip(words[:grams], words[1:], words[2:]))) / grams > 0.25
+        own = Counter(w for w in word.findall(low) if w in names)
+        points = sum(min(4, n) * (2 if w == twice else 1) for w, n in own.items()) + sum(min(4, len(x.findall(low))) for p, x in several if p in low)
+        return {"hard": found["hard"] > 0, "navigation": found["navigation"], "repetitive": repetitive, "points": points + 3 * found["told"] - 2 * found["soft"]}
+
+    return read
+
+
+_read = by_slices(_reader, StructType().add("hard", "boolean").add("navigation", "integer").add("repetitive", "boolean").add("points", "integer"), load=True)
+
+
+def reading(text: Column) -> Column:
+    """struct(hard: an institutional or commercial phrase; navigation: how many names of months and languages; repetitive; points of words and phrases)."""
+    return _read(F.lower(text))
+
+
 def navigation_or_form(text: Column) -> Column:
     """Five or more names of months and languages, many signs, or many colons or bars."""
     n = F.length(text)
-    signs = F.length(F.regexp_replace(text, rf"[\p{{L}}\p{{N}}\s\x0b\x1c-\x1f\x85\p{{Z}}]", ""))
+    signs = F.length(F.regexp_replace(text, r"[a-zA-Z0-9\s\p{L}\p{N}\x0b\x1c-\x1f\x85\p{Z}]+", ""))
     colons, bars = (n - F.length(F.replace(text, F.lit(c), F.lit(""))) for c in ":|")
-    return (bound(F.lower(text), lambda low: hits(low, items(vocabulary.NAVIGATION))) >= 5) | ((n > 100) & (signs / n > 0.15)) | (colons > 5) | (bars > 5)
+    return (reading(text)["navigation"] >= 5) | (colons > 5) | (bars > 5) | ((n > 100) & (signs / n > 0.15))
 
 
 def repetitive(text: Column) -> Column:
     """More than 50 words, of whose trigrams (the last one is never built) more than a quarter repeat."""
-
-    def judged(words: Column) -> Column:
-        n = F.size(words)
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1))), lambda i: F.concat_ws(" ", F.get(words, i - 1), F.get(words, i), F.get(words, i + 1)))
-        return (n > 50) & (1 - F.size(F.array_distinct(grams)) / F.size(grams) > 0.25)
-
-    return F.transform(F.array(F.filter(F.split(F.lower(text), f"{SPACE}+"), lambda w: w != "")), judged)[0]
+    return reading(text)["repetitive"]
 
 
 LYRIC_MARKS = r"(?i)\[verse \d+\]|\[(?:bridge|chorus|intro|outro)\]|\((?:bridge|chorus|verse)\)"
@@ -86,8 +122,8 @@ LYRIC_MARKS = r"(?i)\[verse \d+\]|\[(?:bridge|chorus|intro|outro)\]|\((?:bridge|
 
 def rejected(text: Column) -> Column:
     """What no score outweighs: institutional and commercial phrases, lyric marks, repetition, navigation."""
-    hard = bound(F.lower(text), lambda low: hits(low, items(vocabulary.HARD))) > 0
-    return hard | text.rlike(LYRIC_MARKS) | repetitive(text) | navigation_or_form(text)
+    lyrics = (F.contains(text, F.lit("[")) | F.contains(text, F.lit("("))) & text.rlike(LYRIC_MARKS)
+    return reading(text)["hard"] | repetitive(text) | lyrics | navigation_or_form(text)
 
 
 def marker_points(text: Column) -> Column:
@@ -108,19 +144,7 @@ def marker_points(text: Column) -> Column:
 
 def narrative_score(text: Column) -> Column:
     """Points of a first-person narrative: four at most for each word, markers, three a phrase, two off for each soft negative; -50 if rejected()."""
-    names = items(vocabulary.FIRST_PERSON)
-
-    def counted(own: Column) -> Column:
-        each = lambda w: F.least(F.lit(4), F.size(F.filter(own, lambda x: x == w)))
-        return F.when(F.size(own) == 0, 0).otherwise(sum((each(w) * (2 if w == vocabulary.TWICE else 1) for w in names), F.lit(0)))
-
-    def points(low: Column) -> Column:
-        own = F.filter(F.regexp_extract_all(low, F.lit(f"{WORD}+"), F.lit(0)), lambda w: w.isin(*names))
-        several = sum((F.least(F.lit(4), F.regexp_count(low, F.lit(f"(?<!{WORD})\\Q{p}\\E(?!{WORD})"))) for p in items(vocabulary.FIRST_PERSON_PHRASES)), F.lit(0))
-        return bound(own, counted) + several + 3 * hits(low, items(vocabulary.NARRATIVE)) - 2 * hits(low, items(vocabulary.SOFT))
-
-    score = bound(F.lower(text), points) + marker_points(text)
-    return F.when(rejected(text), F.lit(-50)).otherwise(score)
+    return F.when(rejected(text), F.lit(-50)).otherwise(reading(text)["points"] + marker_points(text))
 
 
 SKIPPED = "pre-filtered boilerplate"

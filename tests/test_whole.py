@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from siftstone.functions import python
-from siftstone.operators import cache, corpus, metrics
+from siftstone.operators import cache, corpus, metrics, rules
 from siftstone.plans import catalog
 
 
@@ -119,3 +119,12 @@ def test_detector_is_given_the_beginning_only(spark):
     assert sorted(map(tuple, found.collect())) == [("500", 1.0), ("unknown", 0.0), ("unknown", 0.0)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "substring(" in plan.lower()
+
+
+def test_phrases_are_read_in_one_pass(spark):
+    """Over 180 phrases were looked for one after another; now one function reads the text once, whatever asks for it."""
+    df = spark.createDataFrame([("I remember my mother. " * 3,), ("may june july march april",), ("sign in or sign up",), ("one two three " * 40,), (None,)], "t string")
+    out = df.select(rules.narrative_score(F.col("t")).alias("s"), rules.repetitive(F.col("t")).alias("r"))
+    assert [tuple(r) for r in out.collect()] == [(15, False), (-50, False), (-50, False), (-50, True), (None, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Contains(") < 20
