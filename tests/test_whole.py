@@ -8,10 +8,12 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
+from pyspark.sql.window import Window
 
 from siftstone.functions import python
 from siftstone.operators import cache, corpus, metrics, rules
-from siftstone.plans import catalog
+from siftstone.plans import catalog, output_queries
+from siftstone.sources import export
 
 
 @pytest.fixture(scope="module")
@@ -128,3 +130,17 @@ def test_phrases_are_read_in_one_pass(spark):
     assert [tuple(r) for r in out.collect()] == [(15, False), (-50, False), (-50, False), (-50, True), (None, None)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and plan.count("Contains(") < 20
+
+
+def test_exact_export_joins_repeated_keys_only(spark, monkeypatch):
+    """Rows met their marks again by three joins over all rows, texts included; passages were made twice."""
+    plans = {}
+    real = export.materialize
+    monkeypatch.setattr(export, "materialize", lambda s, df, tag: plans.__setitem__(tag, df._jdf.queryExecution().optimizedPlan().toString()) or real(s, df, tag))
+    rows = [(k, f"http://a{k % 2}.example/{k}", t) for k, t in enumerate(["one text", "two texts", "one text", "three", "one text"])]
+    df = spark.createDataFrame(rows, "seq long, url string, paragraph string").withColumns({c: F.lit("x") for c in ("crawl_id", "source_file", "warc_date", "raw_paragraph", "concept_match", "document_id", "context_before", "context_after", "filter_signature", "run_id", "language")})
+    manifest = export.export(spark, df, output_queries.fresh(spark, "exact"))
+    assert plans["export_marked"].count("Join") == 1 and "export_passages" in plans
+    assert {t: manifest["tables"][t]["rows"] for t in manifest["tables"]} == {"provenance": 5, "stories": 3, "curated": 3, "passages": manifest["tables"]["passages"]["rows"]}
+    got = export.tables(spark, df)["provenance"].orderBy("seq").select("duplicate_kind", "is_canonical", F.col("story_id") == F.first("story_id").over(Window.orderBy("seq"))).collect()
+    assert [tuple(r) for r in got] == [("canonical", True, True), ("canonical", True, False), ("exact", False, True), ("canonical", True, False), ("exact", False, True)]
