@@ -266,12 +266,12 @@ def streaming_state(spark, sf_dir):
 
 @query(f"with {CAPTURES}, {IDENTITY} select source_file, count(distinct record_id)::bigint as records from ids group by 1")
 def streaming_commit(spark, sf_dir):
-    """Matches of a file stream, committed source by source."""
+    """Matches of a file stream, committed source by source. A source is in one file, but few share one, so that no task holds a large part of all matches."""
     from siftstone.streaming.ingest import commit_sources, file_stream
 
     folder, root, base = fresh(spark, "matches"), fresh(spark, "output"), fresh(spark, "stream")
-    output.match_records(matches(spark, sf_dir)).repartition(4, "source_file").write.parquet(folder)
-    commit_sources(spark, file_stream(spark, f"{folder}/*.parquet", 1), root, base, "2024-01-01")
+    output.match_records(matches(spark, sf_dir)).repartition(256, "source_file").write.parquet(folder)
+    commit_sources(spark, file_stream(spark, f"{folder}/*.parquet", 4), root, base, "2024-01-01")
     return output.effective(spark, root).select("source_file", "records")
 
 

@@ -144,3 +144,15 @@ def test_exact_export_joins_repeated_keys_only(spark, monkeypatch):
     assert {t: manifest["tables"][t]["rows"] for t in manifest["tables"]} == {"provenance": 5, "stories": 3, "curated": 3, "passages": manifest["tables"]["passages"]["rows"]}
     got = export.tables(spark, df)["provenance"].orderBy("seq").select("duplicate_kind", "is_canonical", F.col("story_id") == F.first("story_id").over(Window.orderBy("seq"))).collect()
     assert [tuple(r) for r in got] == [("canonical", True, True), ("canonical", True, False), ("exact", False, True), ("canonical", True, False), ("exact", False, True)]
+
+
+def test_stream_of_matches_has_few_sources_a_file(spark, tmp_path, monkeypatch):
+    """Matches went into four files, so one task read a quarter of them at least, whatever the number of sources."""
+    from siftstone.streaming import ingest
+
+    rows = [(k, f"text number {k}", "en", f"s{k % 20}", 10) for k in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    files, real = [], ingest.file_stream
+    monkeypatch.setattr(ingest, "file_stream", lambda s, path, n: files.extend(r["n"] for r in s.read.parquet(path).groupBy(F.input_file_name()).agg(F.count_distinct("source_file").alias("n")).collect()) or real(s, path, n))
+    got = catalog.QUERIES["streaming_commit"](spark, str(tmp_path)).collect()
+    assert sorted(r["records"] for r in got) == [5] * 20 and sum(files) == 20 and max(files) <= 3
