@@ -102,7 +102,7 @@ def told(spark, sf_dir):
     """Story records: each capture's paragraph is a document of its lines, the longest of which is the seed."""
     caps = captures(spark, sf_dir)
     ids = caps.withColumn("record_id", T.record_id(F.col("crawl_id"), F.col("source_file"), F.col("url"), F.col("warc_date"), F.col("paragraph")))
-    p = materialize(spark, parts(spark, sf_dir), "parts")
+    p = materialize(spark, parts(spark, sf_dir).select("doc_id", "paragraph_index", "paragraph", "source_paragraph"), "parts", "zstd")
     seeds = p.groupBy("doc_id").agg(F.max_by("paragraph_index", F.struct(F.length("paragraph"), -F.col("paragraph_index"))).alias("paragraph_index"))
     windows = stories.story_windows(spark, p, seeds, source="source_paragraph").select(F.col("doc_id").alias("seq"), "story")
     rows = ids.join(windows, "seq").withColumns({"matched_keywords": F.array(F.lit("home")), "filter_signature": F.lit("")})
@@ -112,7 +112,7 @@ def told(spark, sf_dir):
 @query()
 def enriched_stories(spark, sf_dir):
     """Stories of all captures, grouped, with the ranks of their captures."""
-    records = materialize(spark, told(spark, sf_dir), "told")
+    records = materialize(spark, told(spark, sf_dir), "told", "zstd")
     ranks = export.match_ranks(spark, records.select("record_id", "language", F.col("seed.semantic_score").alias("semantic_score"), "warc_date"))
     out = stories.with_match_numbers(stories.grouped(records), ranks)
     return out.select("story_id", "record_id", "capture_count", F.array_join("match_numbers", ",").alias("match_numbers"), F.size("captures").alias("captures"))

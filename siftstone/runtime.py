@@ -31,14 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def materialize(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
-    """Write df once into the shared folder and read it back: it cuts lineage and survives lost executors."""
+def materialize(spark: SparkSession, df: DataFrame, tag: str, compression: str | None = None) -> DataFrame:
+    """Write df once into the shared folder and read it back: it cuts lineage and survives lost executors. zstd suits wide tables of texts."""
     path = f"{shared_dir(spark)}/tables/{tag}-{uuid.uuid4().hex}"
     clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(clean, None)
     spark.conf.set(clean, "true")  # the table stands for them: its shuffle files go when it is written
     try:
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
     finally:
         spark.conf.unset(clean) if before is None else spark.conf.set(clean, before)
     out = spark.read.schema(df.schema).parquet(path)

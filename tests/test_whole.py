@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from siftstone.functions import python
-from siftstone.operators import cache, corpus, metrics, rules
+from siftstone.operators import cache, corpus, metrics, rules, stories
 from siftstone.plans import catalog, output_queries
 from siftstone.sources import export
 
@@ -156,3 +156,13 @@ def test_stream_of_matches_has_few_sources_a_file(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ingest, "file_stream", lambda s, path, n: files.extend(r["n"] for r in s.read.parquet(path).groupBy(F.input_file_name()).agg(F.count_distinct("source_file").alias("n")).collect()) or real(s, path, n))
     got = catalog.QUERIES["streaming_commit"](spark, str(tmp_path)).collect()
     assert sorted(r["records"] for r in got) == [5] * 20 and sum(files) == 20 and max(files) <= 3
+
+
+def test_sources_of_stories_move_once(spark):
+    """A paragraph that is its own source crossed the shuffle twice, and a batch of documents was turned into Python objects at once."""
+    rows = [("a", k, f"Paragraph {k} of the story, which goes on.", f"Paragraph {k} of the story,  which goes on." if k == 1 else f"Paragraph {k} of the story, which goes on.") for k in range(4)]
+    parts = spark.createDataFrame(rows, "doc_id string, paragraph_index int, paragraph string, source_paragraph string")
+    out = stories.story_windows(spark, parts, parts.where("paragraph_index = 2"), source="source_paragraph")
+    story = out.first()["story"]
+    assert [p["text"] for p in story["paragraphs"]] == [r[3] for r in rows] and [p["normalized_text"] for p in story["paragraphs"]] == [None, rows[1][2], None, None]
+    assert "CASE WHEN NOT (source_paragraph" in out._jdf.queryExecution().optimizedPlan().toString()
