@@ -111,7 +111,13 @@ def test_python_functions_work_by_slices():
             live[0] -= 1
 
     apply = python.by_slices(lambda t: Counted(t.upper()), StringType(), 4).func
-    assert [b.to_pylist() for b in apply(iter([pa.array(["a", "b"] * 50), pa.array([], pa.string())]))] == [["A", "B"] * 50, []] and most[0] <= 8
+    assert [apply(b).to_pylist() for b in (pa.array(["a", "b"] * 50), pa.array([], pa.string()))] == [["A", "B"] * 50, []] and most[0] <= 8
+
+
+def test_folding_and_urls_share_a_worker(spark):
+    df = spark.createDataFrame([("HTTP://A.example/x#y", "É Ω")], "u string, t string").select(python.normalize_url("u").alias("u"), python.fold("t").alias("t"))
+    assert tuple(df.first()) == ("http://a.example/x", "é ω")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
 
 
 def test_detector_is_given_the_beginning_only(spark):
